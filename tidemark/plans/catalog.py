@@ -66,7 +66,9 @@ deals AS (
   JOIN nation n ON c.c_nationkey = n.n_nationkey
 )"""
 
-SQL_RULES = SQL_DEALS + """,
+def rules_sql(deals_cte: str = SQL_DEALS) -> str:
+    """Rules over any ``deals`` CTE: ``ruled`` and ``evaluated`` CTEs."""
+    return deals_cte + """,
 ruled AS (
   SELECT d.*,
     coalesce(trim(partner) = 'Preferred', false)
@@ -107,6 +109,9 @@ evaluated AS (
 )"""
 
 
+SQL_RULES = rules_sql()
+
+
 # --------------------------------------------------------------------------
 # Deals, eligibility, validation, evaluation, board
 # --------------------------------------------------------------------------
@@ -184,3 +189,7 @@ SELECT CAST(count(*) AS BIGINT) AS opportunities,
 FROM evaluated""")
 def q_readiness_summary(spark, sf_dir):
     return rules.readiness_summary(_evaluated(spark, sf_dir))
+
+
+# Themed catalogue modules register into QUERIES / ORACLE_SQL on import.
+from tidemark.plans import catalog_records  # noqa: E402,F401

@@ -90,3 +90,165 @@ def lifecycle_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("seq"),
         F.col("event_type").alias("target"),
     )
+
+
+def _order_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    customer = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    nation = bounded_broadcast(
+        table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), DIMENSION_ROW_BOUND)
+    return orders.join(customer, orders.o_custkey == customer.c_custkey).join(
+        nation, F.col("c_nationkey") == F.col("n_nationkey"))
+
+
+def flat_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as flat text records in source spellings (for W1-W3).
+
+    Both ``AccountName`` and ``Account_Name`` are present (the first spelling
+    must win); some values carry padding or malformed text so that trimming
+    and guarded parsing are exercised.
+    """
+    j = _order_customer(spark, sf_dir)
+    key = F.col("o_orderkey")
+    date_text = F.date_format("o_orderdate", "yyyy-MM-dd")
+    return j.select(
+        key.cast("string").alias("Opportunity_ID"),
+        F.col("c_name").alias("AccountName"),
+        F.concat(F.lit("alt "), F.col("c_name")).alias("Account_Name"),
+        F.concat(F.col("c_name"), F.lit(" / "), F.col("o_orderpriority")).alias("OpportunityName"),
+        F.when(key % 19 == 0, F.lit("n/a"))
+        .otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("Amount"),
+        F.col("o_orderstatus").alias("Stage"),
+        F.when(key % 7 == 0, F.concat(F.lit("  "), date_text, F.lit(" "))).otherwise(date_text)
+        .alias("CloseDate"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit(OTHER_PARTNER))
+        .when(key % 5 == 0, F.lit(TEST_PARTNER + "  "))
+        .otherwise(F.lit(TEST_PARTNER)).alias("Partner"),
+        F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit("false"))
+        .when(key % 2 == 0, F.lit("TRUE")).otherwise(F.lit("true")).alias("RegistrationRequired"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("registered"))
+        .otherwise(F.lit("Not Registered")).alias("RegistrationStatus"),
+        F.col("c_mktsegment").alias("Industry"),
+        F.col("n_name").alias("Country"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("LastModifiedDate"),
+    )
+
+
+def nested_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as nested API records (``Account`` struct, text amount and flag)."""
+    j = _order_customer(spark, sf_dir)
+    key = F.col("o_orderkey")
+    return j.select(
+        key.cast("string").alias("Id"),
+        F.when(key % 23 == 0, F.lit(None)).otherwise(
+            F.struct(F.col("c_name").alias("Name"))).alias("Account"),
+        F.concat(F.col("c_name"), F.lit(" / "), F.col("o_orderpriority")).alias("Name"),
+        F.col("n_name").alias("Country__c"),
+        F.when(key % 11 == 0, F.lit(None).cast("string"))
+        .when(key % 19 == 0, F.lit("1d"))
+        .otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("Amount"),
+        F.col("c_mktsegment").alias("Industry"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit(OTHER_PARTNER))
+        .otherwise(F.lit(TEST_PARTNER)).alias("Partner__c"),
+        F.date_format("o_orderdate", "yyyy-M-d").alias("CloseDate"),
+        (F.col("o_orderpriority") != "4-NOT SPECIFIED").cast("string").alias("Registration_Required__c"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("Registered"))
+        .when(F.col("o_orderstatus") == "O", F.lit(None).cast("string"))
+        .otherwise(F.lit("Not Registered")).alias("Registration_Status__c"),
+        F.when(key % 3 == 0, F.lit(None).cast("string")).otherwise(
+            F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'+00:00'")).alias("LastModifiedDate"),
+    )
+
+
+# A deal version seen by an earlier run: everything changed before this
+# date was processed, as it looked before being registered.
+PREVIOUS_RUN_BEFORE = "1997-01-01"
+
+
+def previous_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Processed set of an earlier run: deals changed before the cut-off, with
+    the status they had then (``Not Registered``)."""
+    from tidemark.operators.versions import with_fingerprint
+
+    d = deal_view(spark, sf_dir).where(
+        F.col("source_updated_at") < F.lit(PREVIOUS_RUN_BEFORE).cast("timestamp_ntz"))
+    d = d.withColumn("registration_status", F.lit("Not Registered"))
+    return with_fingerprint(d).select("opportunity_id", "fingerprint")
+
+
+def source_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-country high-water marks of an earlier sync (none for region 0)."""
+    n = table(spark, sf_dir, "nation")
+    return n.where(F.col("n_regionkey") != 0).select(
+        F.col("n_name").alias("source"),
+        F.timestamp_add("DAY", F.col("n_nationkey") * 90,
+                        F.lit("1995-01-01 00:00:00").cast("timestamp_ntz")).alias("watermark"))
+
+
+def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Submission attempts: each order is a request for its customer's
+    opportunity; the version is the order priority; pending orders are not
+    yet approved."""
+    j = _order_customer(spark, sf_dir)
+    return j.select(
+        F.col("o_orderkey").cast("string").alias("request_id"),
+        F.col("o_custkey").cast("string").alias("opportunity_id"),
+        F.sha2(F.col("o_orderpriority"), 256).alias("fingerprint"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("READY_FOR_REVIEW"))
+        .otherwise(F.lit("APPROVED")).alias("status"),
+        F.col("o_orderkey").alias("seq"),
+        F.lit(4).cast("bigint").alias("last_event_seq"),
+        F.col("c_name").alias("account_name"),
+        F.concat(F.col("c_name"), F.lit(" / "), F.col("o_orderpriority")).alias("opportunity_name"),
+        F.col("n_name").alias("country"),
+        F.col("o_totalprice").alias("amount"),
+        F.col("c_mktsegment").alias("industry"),
+        F.lit(TEST_PARTNER).alias("partner"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("close_date"),
+    )
+
+
+def previous_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions submitted by an earlier run (orders before mid-1995)."""
+    o = table(spark, sf_dir, "orders")
+    return o.where(F.col("o_orderdate") < F.lit("1995-06-01").cast("timestamp_ntz")).select(
+        F.col("o_custkey").cast("string").alias("opportunity_id"),
+        F.sha2(F.col("o_orderpriority"), 256).alias("fingerprint"),
+    ).dropDuplicates(["opportunity_id", "fingerprint"])
+
+
+def raw_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gateway answers landed for the attempts; outstanding ones (open,
+    medium priority) have no answer yet."""
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    code = (F.when(key % 7 == 0, F.lit(503)).when(key % 5 == 0, F.lit(400))
+            .when(key % 3 == 0, F.lit(200)).when(key % 13 == 0, F.lit(202)).otherwise(F.lit(201)))
+    body = (F.when(code == 201, F.concat(F.lit('{"registration_number":"REG-'), key.cast("string"),
+                                         F.lit('","message":"accepted"}')))
+            .when(code == 202, F.lit("{}"))
+            .when(code == 503, F.lit("not json"))
+            .otherwise(F.lit("")))
+    return o.where(~((F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "3-MEDIUM"))).select(
+        key.cast("string").alias("request_id"), code.alias("status_code"), body.alias("body"))
+
+
+def review_decisions(evaluated_requests: DataFrame) -> DataFrame:
+    """Two decisions per request: move to review, then approve (or reject
+    large amounts). Illegal ones (request not validated) are rejects."""
+    base = evaluated_requests.select(
+        "request_id", "amount", "country",
+        F.col("source_updated_at").alias("t0"))
+    first = base.select(
+        "request_id", F.lit("REVIEW").alias("decision"), F.lit(None).cast("string").alias("actor"),
+        F.lit(None).cast("string").alias("reason"),
+        F.timestamp_add("DAY", F.lit(1), F.col("t0")).alias("ts"), F.lit(1).cast("bigint").alias("seq"))
+    second = base.select(
+        "request_id",
+        F.when(F.col("amount") > 300000, F.lit("REJECT")).otherwise(F.lit("APPROVE")).alias("decision"),
+        F.concat(F.lit("reviewer@"), F.lower(F.col("country"))).alias("actor"),
+        F.when(F.col("amount") > 300000, F.lit("amount above review limit")).alias("reason"),
+        F.timestamp_add("DAY", F.lit(2), F.col("t0")).alias("ts"), F.lit(2).cast("bigint").alias("seq"))
+    return first.unionByName(second)
