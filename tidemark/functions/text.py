@@ -82,3 +82,18 @@ def parse_flag(c: Column | str) -> Column:
     """Text ``true`` (any case, trimmed) -> True; everything else, NULL included -> False."""
     col = as_column(c)
     return F.coalesce(F.lower(ws_trim(col)) == "true", F.lit(False))
+
+
+def clock_column(clock) -> Column:
+    """The run clock as a timestamp column: a Column is used as is, a
+    ``datetime`` (naive = UTC) becomes a literal. Never ``current_timestamp``:
+    recomputation of a lost partition must see the same value."""
+    import datetime as dt
+
+    if isinstance(clock, Column):
+        return clock.cast("timestamp")
+    if isinstance(clock, dt.datetime):
+        if clock.tzinfo is not None:
+            clock = clock.astimezone(dt.timezone.utc).replace(tzinfo=None)
+        return F.lit(clock.isoformat(sep=" ")).cast("timestamp")
+    return F.lit(clock).cast("timestamp")

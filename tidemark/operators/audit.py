@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import clock_column
+
 from tidemark.functions.ids import hash_id
 from tidemark.plans import policy as P
 from tidemark.operators.versions import fingerprint_expr
@@ -63,7 +65,7 @@ def evaluation_events(evaluated: DataFrame, run_clock) -> DataFrame:
         F.col("status").alias("to_status"),
         F.col("error").alias("reason"),
     ))
-    ev = df.select("request_id", "opportunity_id",
+    ev = df.select("request_id", "opportunity_id", clock_column(run_clock).alias("_at"),
                    F.explode(F.array_compact(F.array(first, second))).alias("e"))
     return ev.select(
         event_id_expr("request_id", F.col("e.event_seq")).alias("event_id"),
@@ -72,7 +74,7 @@ def evaluation_events(evaluated: DataFrame, run_clock) -> DataFrame:
         F.col("e.to_status").alias("to_status"),
         F.lit(None).cast("string").alias("actor"),
         F.col("e.reason").alias("reason"),
-        F.lit(run_clock).cast("timestamp").alias("occurred_at"),
+        F.col("_at").alias("occurred_at"),
         F.col("e.event_seq").alias("event_seq"),
     )
 
@@ -87,7 +89,7 @@ def evaluation_changes(evaluated: DataFrame, run_clock) -> DataFrame:
         F.lit(None).cast("string").alias("registration_number"),
         F.lit(None).cast("timestamp").alias("submitted_at"),
         "error",
-        F.lit(run_clock).cast("timestamp").alias("updated_at"),
+        clock_column(run_clock).alias("updated_at"),
         F.lit(1).cast("bigint").alias("change_seq"),
         F.when(F.col("eligible"), F.lit(2)).otherwise(F.lit(1)).cast("bigint").alias("last_event_seq"),
     )

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import clock_column
+
 from tidemark.operators.audit import event_id_expr
 from tidemark.operators.versions import VERSION_KEYS, flag_processed
 from tidemark.plans import policy as P
@@ -165,8 +167,8 @@ def settle_submissions(requests: DataFrame, answers: DataFrame, processed: DataF
         event_id_expr("request_id", seq).alias("event_id"), "request_id", "opportunity_id",
         F.col("e.f").alias("from_status"), F.col("e.t").alias("to_status"),
         F.lit(None).cast("string").alias("actor"), F.col("e.r").alias("reason"),
-        F.lit(run_clock).cast("timestamp").alias("occurred_at"), seq.alias("event_seq"),
+        clock_column(run_clock).alias("occurred_at"), seq.alias("event_seq"),
     )
     processed_rows = outcomes.where(F.col("processed")).select(*VERSION_KEYS).dropDuplicates(
-        VERSION_KEYS).withColumn("processed_at", F.lit(run_clock).cast("timestamp"))
+        VERSION_KEYS).withColumn("processed_at", clock_column(run_clock))
     return outcomes.drop("last_event_seq"), events, processed_rows

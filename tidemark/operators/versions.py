@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import clock_column
+
 from tidemark.functions.ids import canonical_text
 from tidemark.plans.policy import FINGERPRINT_COLUMNS
 
@@ -56,4 +58,4 @@ def new_processed(processed: DataFrame, done: DataFrame, run_clock) -> DataFrame
     """
     fresh = done.select(*VERSION_KEYS).dropDuplicates(VERSION_KEYS)
     return fresh.join(processed.select(*VERSION_KEYS), VERSION_KEYS, "left_anti").withColumn(
-        "processed_at", F.lit(run_clock).cast("timestamp"))
+        "processed_at", clock_column(run_clock))
