@@ -194,3 +194,4 @@ def q_readiness_summary(spark, sf_dir):
 # Themed catalogue modules register into QUERIES / ORACLE_SQL on import.
 from tidemark.plans import catalog_records  # noqa: E402,F401
 from tidemark.plans import catalog_lifecycle  # noqa: E402,F401
+from tidemark.plans import catalog_submission  # noqa: E402,F401
