@@ -195,3 +195,4 @@ def q_readiness_summary(spark, sf_dir):
 from tidemark.plans import catalog_records  # noqa: E402,F401
 from tidemark.plans import catalog_lifecycle  # noqa: E402,F401
 from tidemark.plans import catalog_submission  # noqa: E402,F401
+from tidemark.plans import catalog_streaming  # noqa: E402,F401

@@ -89,9 +89,30 @@ def checkpoint_dir(spark: SparkSession, required: bool = True) -> str | None:
     return None
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The configured shared folder; in local mode only, a fresh one if unset.
+
+    A local-mode session is a single machine, so a folder on it is shared by
+    every executor thread; on a cluster the setting must come from the
+    cluster and its absence is an error.
+    """
+    value = checkpoint_dir(spark, required=False)
+    if value:
+        return value
+    master = spark.sparkContext.master or ""
+    if not master.startswith("local"):
+        return checkpoint_dir(spark, required=True)
+    import tempfile
+
+    root = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir="/tmp")
+    spark.sparkContext.setCheckpointDir(root)
+    spark.conf.set("spark.checkpoint.dir", root)
+    return root
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for written tables)."""
-    root = checkpoint_dir(spark)
+    root = ensure_checkpoint_dir(spark)
     if root.startswith("file:"):
         root = root[len("file:"):]
     return os.path.join(root, *parts)
