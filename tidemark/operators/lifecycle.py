@@ -73,6 +73,7 @@ def fold_transitions(
     initial: DataFrame | None = None,
     key: str = "key",
     max_rounds: int | None = None,
+    materialize_commands: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Replay ordered commands per key; returns ``(state, moves)``.
 
@@ -94,8 +95,12 @@ def fold_transitions(
     payload = [c for c in commands.columns if c not in (key, "ts", "seq", "target")]
 
     cmds = commands.select(F.col(key).alias("key"), "ts", "seq", "target", *payload)
+    if materialize_commands:
+        # a costly derived command table is written once instead of being
+        # re-derived by every round
+        cmds = cut_lineage(cmds, "commands")
     if initial is None:
-        state = cmds.select("key").distinct().select(
+        state0 = cmds.select("key").distinct().select(
             "key", F.lit(start).alias("status"),
             F.lit(None).cast(cmds.schema["ts"].dataType).alias("last_ts"),
             F.lit(None).cast(cmds.schema["seq"].dataType).alias("last_seq"))
@@ -105,20 +110,45 @@ def fold_transitions(
             "key", F.lit(start).alias("status"),
             F.lit(None).cast(init.schema["last_ts"].dataType).alias("last_ts"),
             F.lit(None).cast(init.schema["last_seq"].dataType).alias("last_seq"))
-        state = init.unionByName(missing)
-    state = state.withColumn("moves", F.lit(0).cast("bigint"))
+        state0 = init.unionByName(missing)
+    # one row per key; written once, every round reads it
+    state0 = cut_lineage(state0, "state0")
 
-    terminal = [s for s in P.STATES if not relation.get(s)] + [
-        t for ts in relation.values() for t in ts if not relation.get(t)]
+    terminal = sorted(set([s for s in P.STATES if not relation.get(s)] + [
+        t for ts in relation.values() for t in ts if not relation.get(t)]))
     step_targets = (_targets_by_step(relation, start, rounds)
                     if (initial is None and rounds is not None) else None)
     moves: list[DataFrame] = []
+
+    def current() -> DataFrame:
+        """State after the moves so far: initial state + latest written move.
+
+        Depends only on ``state0`` and the written move tables, never on an
+        earlier state, so the plan stays linear in the number of rounds.
+        """
+        base = state0.withColumn("moves", F.lit(0).cast("bigint"))
+        if not moves:
+            return base
+        done = moves[0]
+        for m in moves[1:]:
+            done = done.unionByName(m)
+        last = done.groupBy("key").agg(
+            F.max_by(F.struct("to_status", "ts", "seq"), F.col("step")).alias("l"),
+            F.count(F.lit(1)).cast("bigint").alias("n"))
+        return state0.join(last, "key", "left").select(
+            "key",
+            F.coalesce(F.col("l.to_status"), F.col("status")).alias("status"),
+            F.coalesce(F.col("l.ts"), F.col("last_ts")).alias("last_ts"),
+            F.coalesce(F.col("l.seq"), F.col("last_seq")).alias("last_seq"),
+            F.coalesce(F.col("n"), F.lit(0).cast("bigint")).alias("moves"),
+        )
+
     r = 0
     while True:
         r += 1
         if rounds is not None and r > rounds:
             break
-        active = state.where(~F.col("status").isin(sorted(set(terminal)))).select(
+        active = current().where(~F.col("status").isin(terminal)).select(
             "key", F.col("status").alias("cur"), "last_ts", "last_seq")
         cand = cmds
         if step_targets is not None:
@@ -135,18 +165,11 @@ def fold_transitions(
             F.col("m.cur").alias("from_status"), F.col("m.target").alias("to_status"),
             *[F.col(f"m.{c}").alias(c) for c in payload],
         )
-        step = cut_lineage(step)
+        step = cut_lineage(step, f"moves-{r}")
         moves.append(step)
-        state = state.join(step.select("key", "ts", "seq", "to_status"), "key", "left").select(
-            "key",
-            F.coalesce("to_status", "status").alias("status"),
-            F.coalesce(F.col("ts"), F.col("last_ts")).alias("last_ts"),
-            F.coalesce(F.col("seq"), F.col("last_seq")).alias("last_seq"),
-            (F.col("moves") + F.when(F.col("to_status").isNotNull(), 1).otherwise(0)).alias("moves"),
-        )
-        state = cut_lineage(state)
         if rounds is None and step.limit(1).count() == 0:
             break
+    state = current()
     if moves:
         all_moves = moves[0]
         for m in moves[1:]:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import audit, lifecycle, review, rules, versions
 from tidemark.plans.catalog import POLICY, register, rules_sql
 from tidemark.plans.sql_text import fingerprint_sql, hash_id_sql
+from tidemark.session import cut_lineage
 from tidemark.sources import testdata as T
 
 # ------------------------------------------------------------- lifecycle fold
@@ -162,7 +163,9 @@ class _Flow:
 
     def __init__(self, spark, sf_dir):
         ev = versions.with_fingerprint(rules.evaluate(T.deal_view(spark, sf_dir), POLICY))
-        self.evaluated = audit.with_request_id(ev)
+        # the evaluated requests are the stored request table the later
+        # steps (decisions, history) read; write them once
+        self.evaluated = cut_lineage(audit.with_request_id(ev), "evaluated")
         self.clock = F.col("source_updated_at")
 
     @cached_property

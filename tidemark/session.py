@@ -118,16 +118,23 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(root, *parts)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint when a shared folder is configured, else unchanged.
-
-    Used between rounds of iterative operators; the rounds are bounded, so
-    without a checkpoint folder the plan is merely longer, never wrong.
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Write ``df`` as a table under the shared checkpoint folder and read it back.
+
+    One job computes and writes the rows (an RDD checkpoint of an unpersisted
+    plan would compute them twice); the returned frame's lineage is just the
+    file scan, so a lost executor re-reads files instead of recomputing
+    earlier rounds. Without a configured folder the frame is returned as is:
+    the callers' plans are bounded, so skipping the cut never changes results.
     """
     spark = df.sparkSession
-    if checkpoint_dir(spark, required=False):
-        return df.checkpoint(eager=True)
-    return df
+    if not checkpoint_dir(spark, required=False):
+        return df
+    import uuid
+
+    path = scratch_path(spark, "lineage", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
