@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import functions as F
 
 from tidemark.operators import audit, lifecycle, review, rules, versions
+from tidemark.plans import policy as P
 from tidemark.plans.catalog import POLICY, register, rules_sql
 from tidemark.plans.sql_text import fingerprint_sql, hash_id_sql
 from tidemark.session import cut_lineage
@@ -312,3 +313,66 @@ def q_request_conflicts(spark, sf_dir):
     ev = ev.withColumn("request_id", audit.request_id_expr())
     changes = audit.evaluation_changes(ev, F.col("source_updated_at"))
     return audit.request_conflicts(changes)
+
+
+# ------------------------------------------------- request relation (depth 6)
+
+SQL_REQ_EDGES = ", ".join(
+    f"('{s}', '{t}')" for s, ts in P.REQUEST_TRANSITIONS.items() for t in ts)
+SQL_REQ_TARGETS = ", ".join(f"'{t}'" for t in T.COMMAND_TARGETS)
+
+SQL_REQ_FOLD = f"""
+cmds AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS key, l_shipdate AS ts,
+         lpad(CAST(l_linenumber AS VARCHAR), 3, '0') || '-' || lpad(CAST(l_partkey AS VARCHAR), 12, '0')
+           || '-' || lpad(CAST(l_suppkey AS VARCHAR), 12, '0') AS seq,
+         [{SQL_REQ_TARGETS}][((l_partkey + l_linenumber) % 12) + 1] AS target
+  FROM lineitem
+),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY ts, seq) AS rn FROM cmds
+),
+edges(src, dst) AS (VALUES {SQL_REQ_EDGES}),
+fold(key, rn, state, moves, last_seq) AS (
+  SELECT DISTINCT key, CAST(0 AS BIGINT), 'NEW', CAST(0 AS BIGINT), CAST(NULL AS VARCHAR) FROM cmds
+  UNION ALL
+  SELECT f.key, n.rn,
+         CASE WHEN e.dst IS NOT NULL THEN n.target ELSE f.state END,
+         f.moves + CASE WHEN e.dst IS NOT NULL THEN 1 ELSE 0 END,
+         CASE WHEN e.dst IS NOT NULL THEN n.seq ELSE f.last_seq END
+  FROM fold f
+  JOIN numbered n ON n.key = f.key AND n.rn = f.rn + 1
+  LEFT JOIN edges e ON e.src = f.state AND e.dst = n.target
+),
+outcomes AS (
+  SELECT n.key, n.seq, n.target, f.state AS state_before,
+         EXISTS (SELECT 1 FROM edges e WHERE e.src = f.state AND e.dst = n.target) AS applied
+  FROM numbered n JOIN fold f ON f.key = n.key AND f.rn = n.rn - 1
+)"""
+
+
+def _request_fold(spark, sf_dir):
+    cmds = T.request_commands(spark, sf_dir)
+    state, moves = lifecycle.fold_transitions(cmds, P.REQUEST_TRANSITIONS, start=P.NEW)
+    return cmds, state, moves
+
+
+@register("request_lifecycle", f"""
+WITH RECURSIVE {SQL_REQ_FOLD}
+SELECT key, state AS status, moves, last_seq
+FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY rn DESC) AS r FROM fold)
+WHERE r = 1""")
+def q_request_lifecycle(spark, sf_dir):
+    _, state, _ = _request_fold(spark, sf_dir)
+    return state.select("key", "status", "moves", "last_seq")
+
+
+@register("request_rejects", f"""
+WITH RECURSIVE {SQL_REQ_FOLD}
+SELECT key, seq, target, state_before,
+       'Invalid registration transition: ' || state_before || ' -> ' || target AS rejection
+FROM outcomes WHERE NOT applied""")
+def q_request_rejects(spark, sf_dir):
+    cmds, _, moves = _request_fold(spark, sf_dir)
+    out = lifecycle.command_outcomes(cmds, moves, start=P.NEW, relation=P.REQUEST_TRANSITIONS)
+    return out.where(~F.col("applied")).select("key", "seq", "target", "state_before", "rejection")

@@ -252,3 +252,33 @@ def review_decisions(evaluated_requests: DataFrame) -> DataFrame:
         F.when(F.col("amount") > 300000, F.lit("amount above review limit")).alias("reason"),
         F.timestamp_add("DAY", F.lit(2), F.col("t0")).alias("ts"), F.lit(2).cast("bigint").alias("seq"))
     return first.unionByName(second)
+
+
+# States a line item's command may target, indexed by rule below.
+COMMAND_TARGETS = (
+    "ELIGIBLE", "VALIDATED", "READY_FOR_REVIEW", "APPROVED", "SUBMITTED", "REGISTERED",
+    "NOT_ELIGIBLE", "VALIDATION_FAILED", "REJECTED", "SUBMISSION_FAILED", "SUBMISSION_UNKNOWN",
+    "ELIGIBLE",
+)
+
+
+def request_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem -> commands on the request relation: one per line item, for
+    its order's request, at its ship date; the target is chosen by
+    ``(l_partkey + l_linenumber) % 12`` so legal and illegal moves mix.
+
+    ``seq`` breaks ties on ship date: zero-padded text of line number, part
+    and supplier (unique per order in the data, and ordered like the numbers).
+    """
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey",
+                                                 "l_linenumber", "l_shipdate")
+    targets = F.array(*[F.lit(t) for t in COMMAND_TARGETS])
+    idx = ((F.col("l_partkey") + F.col("l_linenumber")) % len(COMMAND_TARGETS)).cast("int")
+    return li.select(
+        F.col("l_orderkey").cast("string").alias("key"),
+        F.col("l_shipdate").alias("ts"),
+        F.concat_ws("-", F.lpad(F.col("l_linenumber").cast("string"), 3, "0"),
+                    F.lpad(F.col("l_partkey").cast("string"), 12, "0"),
+                    F.lpad(F.col("l_suppkey").cast("string"), 12, "0")).alias("seq"),
+        F.element_at(targets, idx + 1).alias("target"),
+    )
