@@ -10,6 +10,7 @@ from tidemark.sources.testdata import TABLES
 from .conftest import SF_SMALL
 
 STREAMING = {"stream_incremental", "stream_lifecycle"}
+NO_ORACLE = {"skewed_request_lifecycle"}
 
 
 def test_entry_runs(spark):
@@ -20,7 +21,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(E.oracle_sql()) == set(E.queries()) - NO_ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -37,7 +38,7 @@ def _norm(v):
     return v if v is None or isinstance(v, (int, str, bool)) else str(v)
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - STREAMING))
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - STREAMING - NO_ORACLE))
 def test_query_matches_oracle_small(spark, duck, name):
     sdf = E.queries()[name](spark, SF_SMALL)
     cur = duck.execute(E.oracle_sql()[name])

@@ -109,3 +109,19 @@ def test_decisions(spark):
     rj = sorted((r.request_id, r.seq, r.rejection) for r in rejects.collect())
     assert rj == [("r2", 1, "Invalid registration transition: VALIDATED -> APPROVED"),
                   ("r3", 1, "Invalid registration transition: NEW -> APPROVED")]
+
+
+def test_skewed_request_lifecycle_matches_replay_on_small_tables(spark):
+    """The registered hot-key query (no SQL oracle) against a sequential
+    replay of the same commands at sf0.001."""
+    import __spark_entry__ as E
+    from tests.conftest import SF_SMALL
+    from tidemark.sources import testdata as T
+
+    cmds = [(r.key, r.ts, r.seq, r.target)
+            for r in T.skewed_request_commands(spark, SF_SMALL).collect()]
+    hot = sum(1 for c in cmds if c[0] == "HOT")
+    assert hot * 4 > len(cmds)  # the hot key holds about a third
+    exp, _ = brute_fold(cmds, P.REQUEST_TRANSITIONS, P.NEW)
+    got = {r.key: r.status for r in E.queries()["skewed_request_lifecycle"](spark, SF_SMALL).collect()}
+    assert got == exp

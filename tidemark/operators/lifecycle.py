@@ -192,10 +192,13 @@ def command_outcomes(
 ) -> DataFrame:
     """Every command with the state it met and whether it applied.
 
-    Per key the applied moves are few (at most the relation depth, a proven
-    bound), so they travel as one small sorted array per key; each command
-    looks up the last move before it. Commands keep their key's shuffle
-    partition only through the join, which AQE splits if a key is hot.
+    Per key the applied moves are few (at most the relation depth for an
+    acyclic relation, a proven bound), so they travel as one small sorted
+    array per key; each command looks up the last move before it. The join
+    of commands with that one-row-per-key table is left to AQE, which splits
+    a hot key's partition. For a cyclic relation the moves per key are
+    bounded by the fold's ``max_rounds``; pass one, or use the streaming
+    state operator, when keys may cycle without limit.
     """
     cmd = commands.select(F.col(key).alias("key"), "ts", "seq", "target")
     hist = moves.groupBy("key").agg(

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import bounded_broadcast
+from tidemark.session import bounded_broadcast, spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -35,7 +35,9 @@ EVENT_TRANSITIONS: dict[str, tuple[str, ...]] = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; an under-partitioned scan is spread over the cores
+    (filters and column pruning still reach the Parquet scan below it)."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def deal_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,3 +284,25 @@ def request_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lpad(F.col("l_suppkey").cast("string"), 12, "0")).alias("seq"),
         F.element_at(targets, idx + 1).alias("target"),
     )
+
+
+def skewed_request_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``request_commands`` with a hot key: the lines of every third order are
+    re-keyed to one request, so that key holds about a third of all commands.
+    Every line item is kept; ``seq`` starts with the order key so the hot
+    key's commands keep a total order."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey",
+                                                 "l_linenumber", "l_shipdate")
+    targets = F.array(*[F.lit(t) for t in COMMAND_TARGETS])
+    idx = ((F.col("l_partkey") + F.col("l_linenumber")) % len(COMMAND_TARGETS)).cast("int")
+    key = F.when(F.col("l_orderkey") % 3 == 0, F.lit("HOT")).otherwise(
+        F.col("l_orderkey").cast("string"))
+    return li.select(
+        key.alias("key"),
+        F.col("l_shipdate").alias("ts"),
+        F.concat_ws("-", F.lpad(F.col("l_orderkey").cast("string"), 12, "0"),
+                    F.lpad(F.col("l_linenumber").cast("string"), 3, "0"),
+                    F.lpad(F.col("l_partkey").cast("string"), 12, "0"),
+                    F.lpad(F.col("l_suppkey").cast("string"), 12, "0")).alias("seq"),
+        F.element_at(targets, idx + 1).alias("target"),
+    )
