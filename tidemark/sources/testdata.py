@@ -34,10 +34,16 @@ EVENT_TRANSITIONS: dict[str, tuple[str, ...]] = {
 }
 
 
+# Dimensions of fixed size at every scale factor: never worth a shuffle.
+FIXED_DIMENSIONS = ("nation", "region")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; an under-partitioned scan is spread over the cores
-    (filters and column pruning still reach the Parquet scan below it)."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    """A driver table; an under-partitioned scan of a table that grows with
+    the scale factor is spread over the cores (filters and column pruning
+    still reach the Parquet scan below it)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df if name in FIXED_DIMENSIONS else spread(df)
 
 
 def deal_view(spark: SparkSession, sf_dir: str) -> DataFrame:
