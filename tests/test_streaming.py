@@ -3,6 +3,8 @@
 import datetime as dt
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import lifecycle as L
@@ -54,7 +56,8 @@ def test_replayed_batch_replaces_its_output(spark, tmp_dir):
     assert spark.read.parquet(sinks.processed).count() == 25
 
 
-def test_lifecycle_stream_matches_batch_fold(spark, tmp_dir):
+@pytest.mark.parametrize("engine", ["fold", "state-store"])
+def test_lifecycle_stream_matches_batch_fold(spark, tmp_dir, engine):
     relation = {"NEW": ("a",), "a": ("b", "x"), "b": ("c", "x")}
     cmds = random_commands(300, 25, ["a", "b", "c", "x"], seed=2)
     df = spark.createDataFrame(cmds, "key string, ts timestamp, seq long, target string")
@@ -62,7 +65,7 @@ def test_lifecycle_stream_matches_batch_fold(spark, tmp_dir):
     df.repartition(4, "key").write.mode("overwrite").parquet(src)
     sink = lifecycle_state.run_lifecycle_stream(
         spark, src, "key string, ts timestamp, seq long, target string", relation, "NEW",
-        files_per_trigger=1, root=os.path.join(tmp_dir, "lc"))
+        files_per_trigger=1, root=os.path.join(tmp_dir, "lc"), engine=engine)
     state = lifecycle_state.current_state(spark.read.parquet(sink))
     got = {r.key: (r.status, r.late) for r in state.collect()}
     exp, _ = brute_fold(cmds, relation, "NEW")
@@ -72,7 +75,8 @@ def test_lifecycle_stream_matches_batch_fold(spark, tmp_dir):
     assert {r.key: r.status for r in batch_state.collect()} == exp
 
 
-def test_late_commands_are_counted_not_applied(spark, tmp_dir):
+@pytest.mark.parametrize("engine", ["fold", "state-store"])
+def test_late_commands_are_counted_not_applied(spark, tmp_dir, engine):
     relation = {"NEW": ("a",), "a": ("b",)}
     t = dt.datetime(2026, 1, 1)
     schema = "key string, ts timestamp, seq long, target string"
@@ -80,10 +84,12 @@ def test_late_commands_are_counted_not_applied(spark, tmp_dir):
     root = os.path.join(tmp_dir, "lc")
     first = [("k", t + dt.timedelta(minutes=5), 2, "a")]
     spark.createDataFrame(first, schema).coalesce(1).write.mode("append").parquet(src)
-    lifecycle_state.run_lifecycle_stream(spark, src, schema, relation, "NEW", root=root)
+    lifecycle_state.run_lifecycle_stream(spark, src, schema, relation, "NEW", root=root,
+                                         engine=engine)
     # a later file carries one command older than what was already applied
     late = [("k", t, 1, "a"), ("k", t + dt.timedelta(minutes=9), 3, "b")]
     spark.createDataFrame(late, schema).coalesce(1).write.mode("append").parquet(src)
-    sink = lifecycle_state.run_lifecycle_stream(spark, src, schema, relation, "NEW", root=root)
+    sink = lifecycle_state.run_lifecycle_stream(spark, src, schema, relation, "NEW", root=root,
+                                                engine=engine)
     state = lifecycle_state.current_state(spark.read.parquet(sink)).collect()[0]
     assert (state.status, state.moves, state.late, state.last_seq) == ("b", 2, 1, 3)

@@ -18,7 +18,7 @@ from tidemark.session import scratch_path
 from tidemark.sources import testdata as T
 from tidemark.streaming import incremental, lifecycle_state
 
-LANDING_FILES = 6
+LANDING_FILES = 4
 
 
 def land(df, path: str, by) -> str:

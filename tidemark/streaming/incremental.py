@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
+from pyspark import StorageLevel
 
 from tidemark.operators import audit, rules, sync, versions
 from tidemark.plans import policy as P
@@ -91,8 +92,9 @@ def process_batch(batch: DataFrame, batch_id: int, sinks: IncrementalSinks,
     prior = _read_or_empty(spark, sinks.processed, PROCESSED_SCHEMA).where(
         F.col("batch_id") != F.lit(batch_id))
     fresh = versions.drop_processed(ev, prior)
-    # one row per version even if the batch carries copies of it
-    fresh = first_per_version(fresh)
+    # one row per version even if the batch carries copies of it; kept for
+    # the four writes below (recomputed from the source files if lost)
+    fresh = first_per_version(fresh).persist(StorageLevel.MEMORY_AND_DISK)
     clock = F.col("source_updated_at")
     _write_batch(audit.evaluation_events(fresh, clock), sinks.events, batch_id)
     changes = audit.evaluation_changes(fresh, clock).withColumn(
@@ -103,6 +105,7 @@ def process_batch(batch: DataFrame, batch_id: int, sinks: IncrementalSinks,
     _write_batch(marks, sinks.marks, batch_id)
     processed = fresh.select(*versions.VERSION_KEYS, clock.alias("processed_at"))
     _write_batch(processed, sinks.processed, batch_id)
+    fresh.unpersist()
 
 
 def run_incremental(
