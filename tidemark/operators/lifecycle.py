@@ -14,7 +14,9 @@ request relation), so the fold is ``depth`` rounds of
 with map-side partial aggregation: a key holding a third of all commands
 costs one partial row per map task, never one task holding the whole group.
 Each round only considers targets that can occur at that step, a constant
-filter Catalyst pushes below the join. The join of commands with the
+filter Catalyst pushes below the join, and only keys that moved in the
+previous round (a key that did not move cannot move later), so after round 1
+the other join side is the previous round's small table of movers. The join of commands with the
 one-row-per-key state is a shuffle join that AQE splits when one key skews
 a partition (or turns into a broadcast when the measured state is small).
 """
@@ -100,6 +102,8 @@ def fold_transitions(
         # re-derived by every round
         cmds = cut_lineage(cmds, "commands")
     if initial is None:
+        # every key starts at ``start`` with no position; only the keys that
+        # end with no move at all need this (for the final state)
         state0 = cmds.select("key").distinct().select(
             "key", F.lit(start).alias("status"),
             F.lit(None).cast(cmds.schema["ts"].dataType).alias("last_ts"),
@@ -110,9 +114,8 @@ def fold_transitions(
             "key", F.lit(start).alias("status"),
             F.lit(None).cast(init.schema["last_ts"].dataType).alias("last_ts"),
             F.lit(None).cast(init.schema["last_seq"].dataType).alias("last_seq"))
-        state0 = init.unionByName(missing)
-    # one row per key; written once, every round reads it
-    state0 = cut_lineage(state0, "state0")
+        # one row per key; written once, read by round 1 and the final state
+        state0 = cut_lineage(init.unionByName(missing), "state0")
 
     terminal = sorted(set([s for s in P.STATES if not relation.get(s)] + [
         t for ts in relation.values() for t in ts if not relation.get(t)]))
@@ -121,11 +124,7 @@ def fold_transitions(
     moves: list[DataFrame] = []
 
     def current() -> DataFrame:
-        """State after the moves so far: initial state + latest written move.
-
-        Depends only on ``state0`` and the written move tables, never on an
-        earlier state, so the plan stays linear in the number of rounds.
-        """
+        """State after all moves: initial state + latest written move per key."""
         base = state0.withColumn("moves", F.lit(0).cast("bigint"))
         if not moves:
             return base
@@ -143,20 +142,29 @@ def fold_transitions(
             F.coalesce(F.col("n"), F.lit(0).cast("bigint")).alias("moves"),
         )
 
+    # Keys that may still move. A key that did not move in a round cannot
+    # move in a later one (same state, same position, and that round already
+    # found no legal command after it), so after round 1 the active keys are
+    # exactly the non-terminal keys the previous round moved: a small table.
+    active = None if initial is None else state0.where(~F.col("status").isin(terminal)).select(
+        "key", F.col("status").alias("cur"), "last_ts", "last_seq")
     r = 0
     while True:
         r += 1
         if rounds is not None and r > rounds:
             break
-        active = current().where(~F.col("status").isin(terminal)).select(
-            "key", F.col("status").alias("cur"), "last_ts", "last_seq")
         cand = cmds
         if step_targets is not None:
             cand = cand.where(F.col("target").isin(sorted(step_targets[r - 1])))
-        after = F.col("last_ts").isNull() | (
-            F.struct("ts", "seq") > F.struct(F.col("last_ts"), F.col("last_seq")))
-        cand = cand.join(active, "key").where(
-            after & legal_expr(F.col("cur"), F.col("target"), relation))
+        if active is None:
+            # round 1 from ``start`` with no position: no join needed
+            cand = cand.withColumn("cur", F.lit(start)).where(
+                legal_expr(F.col("cur"), F.col("target"), relation))
+        else:
+            after = F.col("last_ts").isNull() | (
+                F.struct("ts", "seq") > F.struct(F.col("last_ts"), F.col("last_seq")))
+            cand = cand.join(active, "key").where(
+                after & legal_expr(F.col("cur"), F.col("target"), relation))
         best = cand.groupBy("key").agg(
             F.min(F.struct("ts", "seq", "target", "cur", *payload)).alias("m"))
         step = best.select(
@@ -167,6 +175,9 @@ def fold_transitions(
         )
         step = cut_lineage(step, f"moves-{r}")
         moves.append(step)
+        active = step.where(~F.col("to_status").isin(terminal)).select(
+            "key", F.col("to_status").alias("cur"), F.col("ts").alias("last_ts"),
+            F.col("seq").alias("last_seq"))
         if rounds is None and step.limit(1).count() == 0:
             break
     state = current()
