@@ -93,7 +93,8 @@ def test_decisions(spark):
     d = [("r1", "REVIEW", None, None, T0, 1), ("r1", "APPROVE", "mgr@x", None, T0 + dt.timedelta(1), 2),
          ("r2", "APPROVE", "mgr@x", None, T0, 1), ("r2", "REVIEW", None, None, T0 + dt.timedelta(1), 2),
          ("r2", "REJECT", None, "too big", T0 + dt.timedelta(2), 3),
-         ("r3", "APPROVE", "mgr@x", None, T0, 1), ("r4", "approve", "boss", None, T0, 1)]
+         ("r3", "APPROVE", "mgr@x", None, T0, 1), ("r4", "approve", "boss", None, T0, 1),
+         ("r1", "ESCALATE", "x", None, T0 + dt.timedelta(3), 3)]
     decisions = spark.createDataFrame(d, "request_id string, decision string, actor string, "
                                          "reason string, ts timestamp, seq long")
     changes, events, rejects = review.apply_decisions(reqs, decisions)
@@ -107,7 +108,8 @@ def test_decisions(spark):
     assert ev[:2] == [("r1", 3, "VALIDATED", "READY_FOR_REVIEW", None),
                       ("r1", 4, "READY_FOR_REVIEW", "APPROVED", "mgr@x")]
     rj = sorted((r.request_id, r.seq, r.rejection) for r in rejects.collect())
-    assert rj == [("r2", 1, "Invalid registration transition: VALIDATED -> APPROVED"),
+    assert rj == [("r1", 3, "Invalid registration transition: APPROVED -> UNKNOWN"),
+                  ("r2", 1, "Invalid registration transition: VALIDATED -> APPROVED"),
                   ("r3", 1, "Invalid registration transition: NEW -> APPROVED")]
 
 

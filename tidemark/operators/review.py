@@ -42,7 +42,7 @@ def apply_decisions(requests: DataFrame, decisions: DataFrame):
     target = F.create_map(*[x for k, v in DECISION_TARGETS.items() for x in (F.lit(k), F.lit(v))])
     cmds = decisions.select(
         F.col("request_id").alias("key"), "ts", "seq",
-        F.coalesce(F.element_at(target, F.upper(F.col("decision"))), F.lit("UNKNOWN")).alias("target"),
+        F.coalesce(F.try_element_at(target, F.upper(F.col("decision"))), F.lit("UNKNOWN")).alias("target"),
         "actor", "reason",
     )
     initial = requests.select(
