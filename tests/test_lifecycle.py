@@ -127,3 +127,26 @@ def test_skewed_request_lifecycle_matches_replay_on_small_tables(spark):
     exp, _ = brute_fold(cmds, P.REQUEST_TRANSITIONS, P.NEW)
     got = {r.key: r.status for r in E.queries()["skewed_request_lifecycle"](spark, SF_SMALL).collect()}
     assert got == exp
+
+
+def test_fold_property_against_replay(spark):
+    """Generated command logs (ties, repeats, illegal targets) through the
+    Spark fold equal the sequential replay, for the full request relation."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    command = st.tuples(
+        st.sampled_from(["a", "b", "c"]),
+        st.integers(min_value=0, max_value=4),
+        st.sampled_from(list(P.STATES[1:])),
+    )
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(command, min_size=1, max_size=40))
+    def check(spec):
+        cmds = [(k, T0 + dt.timedelta(minutes=m), i, t) for i, (k, m, t) in enumerate(spec)]
+        final, outcomes, _ = run_fold(spark, cmds, P.REQUEST_TRANSITIONS, P.NEW)
+        exp_final, exp_out = brute_fold(cmds, P.REQUEST_TRANSITIONS, P.NEW)
+        assert final == exp_final and outcomes == exp_out
+
+    check()
