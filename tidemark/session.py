@@ -27,6 +27,28 @@ SESSION_DEFAULTS = {
 }
 
 
+def cluster_settings(largest_shuffle_bytes: int, target_partition_bytes: int = 256 << 20,
+                     scan_partition_bytes: int = 512 << 20) -> dict[str, str]:
+    """Starting values for a large cluster, sized from the biggest shuffle.
+
+    ``spark.sql.shuffle.partitions`` is set so a shuffle partition of the
+    largest exchange is about ``target_partition_bytes`` (it must fit an
+    executor's memory share with room to spill); AQE coalesces the
+    partitions of smaller exchanges to the same advisory size and splits a
+    partition that a hot key makes several times larger than the median.
+    Scans read ``scan_partition_bytes`` per task. The count is capped at
+    100,000 (map-output metadata grows with maps x reducers); past the cap,
+    partitions grow larger and rely on spill.
+    """
+    partitions = min(100_000, max(200, -(-largest_shuffle_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(scan_partition_bytes),
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "tidemark",
