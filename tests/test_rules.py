@@ -154,3 +154,19 @@ def test_pick(spark):
     deals = R.to_deals_flat(R.from_rows(spark, fixture_rows()))
     assert rules.pick(deals, "opportunity_id", "OPP-1002").count() == 1
     assert deals.where(F.col("opportunity_id") == "nope").count() == 0
+
+
+def test_evaluate_pipeline_is_whole_stage_codegen(spark):
+    """No expression in evaluate / fingerprint / ids falls back to
+    interpreted evaluation (a higher-order function would switch the
+    projection off whole-stage codegen)."""
+    from tests.conftest import SF_SMALL
+    from tidemark.operators import audit, versions
+    from tidemark.sources import testdata as T
+
+    ev = audit.with_request_id(versions.with_fingerprint(
+        rules.evaluate(T.deal_view(spark, SF_SMALL), POLICY)))
+    ev.collect()
+    final = ev._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    projects = [line for line in final.splitlines() if "Project [" in line]
+    assert projects and all("*(" in line for line in projects)

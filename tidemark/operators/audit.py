@@ -59,14 +59,15 @@ def evaluation_events(evaluated: DataFrame, run_clock) -> DataFrame:
         F.when(F.col("eligible"), F.lit(P.ELIGIBLE)).otherwise(F.lit(P.NOT_ELIGIBLE)).alias("to_status"),
         F.lit(None).cast("string").alias("reason"),
     )
-    second = F.when(F.col("eligible"), F.struct(
+    second = F.struct(
         F.lit(2).cast("bigint").alias("event_seq"),
         F.lit(P.ELIGIBLE).alias("from_status"),
         F.col("status").alias("to_status"),
         F.col("error").alias("reason"),
-    ))
+    )
+    pair = F.when(F.col("eligible"), F.array(first, second)).otherwise(F.array(first))
     ev = df.select("request_id", "opportunity_id", clock_column(run_clock).alias("_at"),
-                   F.explode(F.array_compact(F.array(first, second))).alias("e"))
+                   F.explode(pair).alias("e"))
     return ev.select(
         event_id_expr("request_id", F.col("e.event_seq")).alias("event_id"),
         "request_id", "opportunity_id",
