@@ -204,16 +204,37 @@ def command_outcomes(
     """Every command with the state it met and whether it applied.
 
     Per key the applied moves are few (at most the relation depth for an
-    acyclic relation, a proven bound), so they travel as one small sorted
-    array per key; each command looks up the last move before it. The join
+    acyclic relation, a proven bound), so they travel as one row per key with
+    a column per step; each command picks the last move before it. The join
     of commands with that one-row-per-key table is left to AQE, which splits
     a hot key's partition. For a cyclic relation the moves per key are
     bounded by the fold's ``max_rounds``; pass one, or use the streaming
     state operator, when keys may cycle without limit.
     """
     cmd = commands.select(F.col(key).alias("key"), "ts", "seq", "target")
-    hist = moves.groupBy("key").agg(
-        F.array_sort(F.collect_list(F.struct("ts", "seq", "to_status"))).alias("hist"))
+    bound = P.relation_depth(relation, start)
+    if initial is not None:
+        depths = [P.relation_depth(relation, s) for s in set(relation) | {start}]
+        bound = None if any(d is None for d in depths) else max(depths)
+    pos = F.struct(F.col("ts"), F.col("seq"))
+    if bound is not None:
+        # at most ``bound`` moves per key, numbered by step at increasing
+        # positions: one column per step, and the state a command met is the
+        # highest step before it (plain CASE expressions, whole-stage codegen)
+        hist = moves.groupBy("key").agg(*[
+            F.max(F.when(F.col("step") == r, F.struct("ts", "seq", "to_status"))).alias(f"_m{r}")
+            for r in range(1, bound + 1)])
+        seen = [F.when(F.col(f"_m{r}").isNotNull()
+                       & (F.struct(F.col(f"_m{r}.ts"), F.col(f"_m{r}.seq")) < pos),
+                       F.col(f"_m{r}.to_status")) for r in range(bound, 0, -1)]
+    else:
+        # cyclic relation: moves per key are bounded by the rounds run; keep
+        # them as one sorted array per key
+        hist = moves.groupBy("key").agg(
+            F.array_sort(F.collect_list(F.struct("ts", "seq", "to_status"))).alias("hist"))
+        before = F.filter(F.coalesce(F.col("hist"), F.array()),
+                          lambda h: F.struct(h["ts"], h["seq"]) < pos)
+        seen = [F.try_element_at(F.transform(before, lambda h: h["to_status"]), F.lit(-1))]
     if initial is not None:
         hist = hist.join(initial.select(F.col(key).alias("key"), F.col("status").alias("init")),
                          "key", "full_outer")
@@ -221,11 +242,7 @@ def command_outcomes(
         hist = hist.withColumn("init", F.lit(None).cast("string"))
     joined = cmd.join(hist, "key", "left").join(
         moves.select("key", "seq", F.lit(True).alias("applied")), ["key", "seq"], "left")
-    before = F.filter(F.coalesce(F.col("hist"), F.array()),
-                      lambda h: F.struct(h["ts"], h["seq"]) < F.struct(F.col("ts"), F.col("seq")))
-    state_at = F.coalesce(
-        F.try_element_at(F.transform(before, lambda h: h["to_status"]), F.lit(-1)),
-        F.col("init"), F.lit(start))
+    state_at = F.coalesce(*seen, F.col("init"), F.lit(start))
     applied = F.coalesce(F.col("applied"), F.lit(False))
     return joined.select(
         "key", "ts", "seq", "target",
