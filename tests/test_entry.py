@@ -55,3 +55,10 @@ def test_no_python_in_batch_plans(spark):
     for name in ("readiness_board", "fingerprint", "settle_submissions", "drop_processed"):
         plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan, name
+
+
+@pytest.mark.parametrize("name", sorted(STREAMING))
+def test_streaming_twin_matches_batch_oracle_small(spark, duck, name):
+    """The streaming twins (landing files, availableNow micro-batches) give
+    the batch oracle's rows."""
+    test_query_matches_oracle_small(spark, duck, name)
