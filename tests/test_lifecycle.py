@@ -94,7 +94,8 @@ def test_decisions(spark):
          ("r2", "APPROVE", "mgr@x", None, T0, 1), ("r2", "REVIEW", None, None, T0 + dt.timedelta(1), 2),
          ("r2", "REJECT", None, "too big", T0 + dt.timedelta(2), 3),
          ("r3", "APPROVE", "mgr@x", None, T0, 1), ("r4", "approve", "boss", None, T0, 1),
-         ("r1", "ESCALATE", "x", None, T0 + dt.timedelta(3), 3)]
+         ("r1", "ESCALATE", "x", None, T0 + dt.timedelta(3), 3),
+         ("r9", "REVIEW", None, None, T0, 1)]
     decisions = spark.createDataFrame(d, "request_id string, decision string, actor string, "
                                          "reason string, ts timestamp, seq long")
     changes, events, rejects = review.apply_decisions(reqs, decisions)
@@ -110,7 +111,8 @@ def test_decisions(spark):
     rj = sorted((r.request_id, r.seq, r.rejection) for r in rejects.collect())
     assert rj == [("r1", 3, "Invalid registration transition: APPROVED -> UNKNOWN"),
                   ("r2", 1, "Invalid registration transition: VALIDATED -> APPROVED"),
-                  ("r3", 1, "Invalid registration transition: NEW -> APPROVED")]
+                  ("r3", 1, "Invalid registration transition: NEW -> APPROVED"),
+                  ("r9", 1, "Invalid registration transition: NEW -> READY_FOR_REVIEW")]
 
 
 def test_skewed_request_lifecycle_matches_replay_on_small_tables(spark):

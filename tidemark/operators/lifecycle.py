@@ -76,12 +76,16 @@ def fold_transitions(
     key: str = "key",
     max_rounds: int | None = None,
     materialize_commands: bool = False,
+    add_missing_keys: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Replay ordered commands per key; returns ``(state, moves)``.
 
     ``commands``: ``key, ts, seq, target`` (+ any payload columns, carried
     onto the moves). ``initial``: optional ``key, status, last_ts, last_seq``
-    (current states); keys absent from it start at ``start`` with no position.
+    (current states); keys absent from it start at ``start`` with no
+    position, unless ``add_missing_keys`` is false: then their commands are
+    left unapplied (no state to move) and the distinct/anti join that finds
+    them is skipped.
 
     ``state``: ``key, status, last_ts, last_seq, moves`` per key.
     ``moves``: one row per applied command: ``key, step, ts, seq,
@@ -110,12 +114,15 @@ def fold_transitions(
             F.lit(None).cast(cmds.schema["seq"].dataType).alias("last_seq"))
     else:
         init = initial.select(F.col(key).alias("key"), "status", "last_ts", "last_seq")
-        missing = cmds.select("key").distinct().join(init.select("key"), "key", "left_anti").select(
-            "key", F.lit(start).alias("status"),
-            F.lit(None).cast(init.schema["last_ts"].dataType).alias("last_ts"),
-            F.lit(None).cast(init.schema["last_seq"].dataType).alias("last_seq"))
+        if add_missing_keys:
+            missing = cmds.select("key").distinct().join(
+                init.select("key"), "key", "left_anti").select(
+                "key", F.lit(start).alias("status"),
+                F.lit(None).cast(init.schema["last_ts"].dataType).alias("last_ts"),
+                F.lit(None).cast(init.schema["last_seq"].dataType).alias("last_seq"))
+            init = init.unionByName(missing)
         # one row per key; written once, read by round 1 and the final state
-        state0 = cut_lineage(init.unionByName(missing), "state0")
+        state0 = cut_lineage(init, "state0")
 
     terminal = sorted(set([s for s in P.STATES if not relation.get(s)] + [
         t for ts in relation.values() for t in ts if not relation.get(t)]))

@@ -50,7 +50,9 @@ def apply_decisions(requests: DataFrame, decisions: DataFrame):
         F.lit(None).cast(cmds.schema["ts"].dataType).alias("last_ts"),
         F.lit(None).cast(cmds.schema["seq"].dataType).alias("last_seq"))
     rel = decision_relation()
-    state, moves = L.fold_transitions(cmds, rel, initial=initial)
+    # decisions on unknown requests have no state to move: they come back as
+    # rejects (from NEW), so the fold need not add start states for them
+    state, moves = L.fold_transitions(cmds, rel, initial=initial, add_missing_keys=False)
     req = requests.select(
         F.col("request_id").alias("key"), "opportunity_id", "change_seq", "last_event_seq")
     mv = moves.join(req, "key")

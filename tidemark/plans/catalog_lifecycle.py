@@ -180,7 +180,9 @@ class _Flow:
     @cached_property
     def decided(self):
         decisions = T.review_decisions(self.evaluated)
-        return review.apply_decisions(audit.latest_requests(self.eval_changes), decisions)
+        # right after evaluation every request has exactly one change row, so
+        # the change rows are the current state (no latest-per-key needed)
+        return review.apply_decisions(self.eval_changes, decisions)
 
     @property
     def dec_changes(self):
