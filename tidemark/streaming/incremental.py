@@ -27,7 +27,7 @@ from pyspark import StorageLevel
 
 from tidemark.operators import audit, rules, sync, versions
 from tidemark.plans import policy as P
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, spread
 from tidemark.sources import records as R
 
 
@@ -87,7 +87,9 @@ def process_batch(batch: DataFrame, batch_id: int, sinks: IncrementalSinks,
                   policy: P.Policy, source_system: str = "flat-file") -> None:
     """One micro-batch: canonicalise, evaluate, skip processed versions, write."""
     spark = batch.sparkSession
-    deals = R.to_deals_flat(batch, source_system=source_system)
+    # a micro-batch of a few files is read by a few tasks; spread it over the
+    # cores before the per-row evaluation (a no-op for large batches)
+    deals = R.to_deals_flat(spread(batch), source_system=source_system)
     ev = audit.with_request_id(versions.with_fingerprint(rules.evaluate(deals, policy)))
     prior = _read_or_empty(spark, sinks.processed, PROCESSED_SCHEMA).where(
         F.col("batch_id") != F.lit(batch_id))

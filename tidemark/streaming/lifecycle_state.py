@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tidemark.operators.lifecycle import fold_transitions
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, spread
 
 OUTPUT_SCHEMA = ("key string, status string, moves long, last_ts timestamp, last_seq long, "
                  "late long")
@@ -113,7 +113,7 @@ def fold_batch(batch: DataFrame, batch_id: int, sink: str,
         prior.schema
     except AnalysisException:
         prior = spark.createDataFrame([], schema)
-    cmds = batch.select("key", "ts", "seq", "target").persist(StorageLevel.MEMORY_AND_DISK)
+    cmds = spread(batch.select("key", "ts", "seq", "target")).persist(StorageLevel.MEMORY_AND_DISK)
     keys = cmds.select("key").distinct()
     old = current_state(prior.where(F.col("batch_id") < batch_id)).join(keys, "key", "left_semi")
     marked = cmds.join(old.select("key", "seen_ts", "seen_seq"), "key", "left").withColumn(
