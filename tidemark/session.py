@@ -1,9 +1,10 @@
 """Session construction and cluster-facing helpers.
 
-The library never picks storage locations on its own: lineage cuts and
+The library never picks storage locations on a cluster: lineage cuts and
 streaming checkpoints live under the shared folder named by the session's
-``spark.checkpoint.dir``. Only tests and the bench set that value, and only
-when it is unset.
+``spark.checkpoint.dir``. That value is set here only when it is unset: by
+tests and the bench, and for a local-mode session (one machine, so a local
+folder is shared by every executor thread).
 """
 
 from __future__ import annotations
