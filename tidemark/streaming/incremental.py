@@ -89,7 +89,8 @@ def process_batch(batch: DataFrame, batch_id: int, sinks: IncrementalSinks,
     spark = batch.sparkSession
     # a micro-batch of a few files is read by a few tasks; spread it over the
     # cores before the per-row evaluation (a no-op for large batches)
-    deals = R.to_deals_flat(spread(batch), source_system=source_system)
+    deals = R.to_deals_flat(spread(batch), source_system=source_system).persist(
+        StorageLevel.MEMORY_AND_DISK)
     ev = audit.with_request_id(versions.with_fingerprint(rules.evaluate(deals, policy)))
     prior = _read_or_empty(spark, sinks.processed, PROCESSED_SCHEMA).where(
         F.col("batch_id") != F.lit(batch_id))
@@ -108,6 +109,7 @@ def process_batch(batch: DataFrame, batch_id: int, sinks: IncrementalSinks,
     processed = fresh.select(*versions.VERSION_KEYS, clock.alias("processed_at"))
     _write_batch(processed, sinks.processed, batch_id)
     fresh.unpersist()
+    deals.unpersist()
 
 
 def run_incremental(
