@@ -141,23 +141,37 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(root, *parts)
 
 
+def lineage_root(spark: SparkSession) -> str:
+    """This application's folder of lineage cuts, under the shared folder.
+
+    The setting's own scheme is kept, so the folder is found by Spark's
+    readers wherever the shared store is.
+    """
+    return f"{ensure_checkpoint_dir(spark)}/lineage/{spark.sparkContext.applicationId}"
+
+
 def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write ``df`` as a table under the shared checkpoint folder and read it back.
 
     One job computes and writes the rows (an RDD checkpoint of an unpersisted
     plan would compute them twice); the returned frame's lineage is just the
     file scan, so a lost executor re-reads files instead of recomputing
-    earlier rounds. Without a configured folder the frame is returned as is:
-    the callers' plans are bounded, so skipping the cut never changes results.
+    earlier rounds. Always cuts: the folder is resolved the same way for every
+    caller, and a cluster that names none is an error.
     """
-    spark = df.sparkSession
-    if not checkpoint_dir(spark, required=False):
-        return df
     import uuid
 
-    path = scratch_path(spark, "lineage", f"{name}-{uuid.uuid4().hex}")
+    spark = df.sparkSession
+    path = f"{lineage_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_lineage(spark: SparkSession) -> None:
+    """Delete this application's lineage cuts. Call it when no frame that was
+    built on them is still needed (the end of a job)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(lineage_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(df: DataFrame) -> DataFrame:
