@@ -23,8 +23,8 @@ until one final division.
 
 Defined cases: a null text has size 0; a null, zero, negative or not finite
 weight ranks its document after all others; a null source is a source of its
-own; repeated rows are rows of their own, taken one after the other; a source
-of size 0 has target 0; empty input gives no rows. Other columns are ignored.
+own; repeated rows (equal id and text) are taken alike; a source of size 0 has
+target 0; empty input gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -84,39 +84,42 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share_percent: int = SHARE
     return per.select("source", "source_size", "source_rows", "mean_weight", target.alias("target"))
 
 
-def mix(docs: DataFrame, *, weights=WEIGHTS, share_percent: int = SHARE_PERCENT, cap: int = CAP,
-        id_col: str = "doc_id", quality=letters_share) -> DataFrame:
-    """(id, size, source_size, target, taken, copies) of every document.
-
-    ``taken`` is the number of words that the mix takes of the document,
-    ``copies`` how many times it takes it.
-    """
+def _sized(docs: DataFrame, id_col: str, quality) -> list[Column]:
+    """Columns (id, source, size, weight, usable, draw, tie) of documents."""
     text = F.col("text")
     q = quality(text).cast("double")
     usable = F.coalesce((q > 0) & ~F.isnan(q) & (q < F.lit(float("inf"))), F.lit(False))
-    sized = written(
-        docs.select(
-            F.col(id_col).alias("id"), F.col("source"), word_count(text).alias("size"), q.alias("weight"),
-            usable.alias("usable"),
-            (-F.log(uniform_key(F.col(id_col).cast("string")))).alias("draw"),
-            F.xxhash64(text).alias("tie"),
-        ),
-        "mix-sized",
+    return [
+        F.col(id_col).alias("id"), F.col("source").alias("source"), word_count(text).alias("size"), q.alias("weight"), usable.alias("usable"),
+        (-F.log(uniform_key(F.col(id_col).cast("string")))).alias("draw"), F.xxhash64(text).alias("tie"),
+    ]
+
+
+def _order(row: str = "") -> Column:
+    """The sampling order within a source, as one comparable value: key, then
+    draw, id and text; no usable weight and null ids last."""
+    c = (lambda n: F.col(f"{row}.{n}")) if row else F.col
+    key = F.when(c("usable"), c("draw") / c("weight"))
+    return F.struct(
+        key.isNull().alias("late"), F.coalesce(key, F.lit(0.0)).alias("key"), c("draw").alias("draw"),
+        c("id").isNull().alias("no_id"), c("id").alias("id"), c("tie").alias("tie"),
     )
+
+
+def source_cuts(sized: DataFrame, *, weights=WEIGHTS, share_percent: int = SHARE_PERCENT, cap: int = CAP) -> DataFrame:
+    """(s, source_size, target, epochs, cut) per source: all documents up to
+    ``cut`` in the sampling order (null: none) are taken once more than ``epochs`` times."""
     targets = written(source_targets(sized, weights, share_percent, cap), "mix-targets")
     targets = targets.select(
         F.col("source").alias("s"), "source_size", "source_rows", "mean_weight", "target",
         F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long").alias("epochs"),
     ).withColumn("rest", F.col("target") - (F.col("epochs") * F.col("source_size")).cast("double"))
-    key = F.when(F.col("usable"), F.col("draw") / F.col("weight"))
     ranges = F.greatest(F.lit(1), F.ceil(F.col("source_rows") / ROWS_PER_RANGE)).cast("long")
-    spread = 1 - F.exp(-F.col("key") * F.col("mean_weight"))
+    spread = 1 - F.exp(-F.col("draw") / F.col("weight") * F.col("mean_weight"))
     # documents without a usable weight come last, spread by their draw
     late = F.floor((1 - F.exp(-F.col("draw"))) * ranges) + ranges
-    keyed = (
-        sized.join(targets, sized["source"].eqNullSafe(targets["s"]))
-        .withColumn("key", key)
-        .withColumn("range", F.when(F.col("usable"), F.least(F.floor(spread * ranges), ranges - 1)).otherwise(late).cast("long"))
+    keyed = sized.join(targets, sized["source"].eqNullSafe(targets["s"])).withColumn(
+        "range", F.when(F.col("usable"), F.least(F.floor(spread * ranges), ranges - 1)).otherwise(late).cast("long")
     )
     sums = keyed.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
     before = W.partitionBy("source").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
@@ -128,21 +131,52 @@ def mix(docs: DataFrame, *, weights=WEIGHTS, share_percent: int = SHARE_PERCENT,
     ends = written(
         sums.join(targets, sums["s2"].eqNullSafe(targets["s"]))
         .where((F.col("start") < F.col("rest")) & (F.col("start") + F.col("range_size") >= F.col("rest")))
-        .select(F.col("s2"), "r2", "start"),
+        .select("s2", "r2", "start"),
         "mix-ends",
     )
-    rows = keyed.join(ends, F.col("source").eqNullSafe(F.col("s2")), "left")
-    whole = rows.where("r2 is null or range <> r2").withColumn(
-        # no range ends a budget of zero
-        "more", F.col("r2").isNotNull() & (F.col("range") < F.col("r2"))
-    )
-    order = W.partitionBy("source").orderBy(F.col("key").asc_nulls_last(), "draw", F.col("id").asc_nulls_last(), "tie", "size")
-    part = rows.where("range = r2").withColumn(
-        "done", F.col("start") + F.coalesce(F.sum("size").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    )
     # the prefix that comes nearest: a document is taken if its middle lies within the budget
-    part = part.withColumn("more", 2 * F.col("done") + F.col("size") <= 2 * F.col("rest")).drop("done")
-    copies = F.col("epochs") + F.when(F.col("more"), 1).otherwise(0)
-    return whole.unionByName(part).select(
-        F.col("id").alias(id_col), "size", "source_size", "target", (F.col("size") * copies).alias("taken"), copies.cast("long").alias("copies")
+    part = keyed.join(ends, F.col("source").eqNullSafe(F.col("s2")) & (F.col("range") == F.col("r2"))).withColumn("place", _order())
+    order = W.partitionBy("source").orderBy("place")
+    done = F.col("start") + F.coalesce(F.sum("size").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    part = part.withColumn("done", done).where(2 * F.col("done") + F.col("size") <= 2 * F.col("rest"))
+    inside = part.groupBy("source").agg(F.max("place").alias("cut"))
+    # a range of which nothing fits: the cut lies before its first document
+    first = keyed.join(ends, F.col("source").eqNullSafe(F.col("s2")) & (F.col("range") < F.col("r2")))
+    earlier = first.withColumn("place", _order()).groupBy("source").agg(F.max("place").alias("cut"))
+    cut = inside.unionByName(earlier).groupBy("source").agg(F.max("cut").alias("cut")).withColumnRenamed("source", "s3")
+    return written(
+        targets.join(cut, F.col("s").eqNullSafe(F.col("s3")), "left").select("s", "source_size", "target", "epochs", "cut"), "mix-cuts"
     )
+
+
+def _copies() -> Column:
+    more = F.col("cut").isNotNull() & (_order("mixed") <= F.col("cut"))
+    return (F.col("epochs") + F.when(more, 1).otherwise(0)).cast("long")
+
+
+def _cuts(docs: DataFrame, id_col: str, quality, **options) -> tuple[DataFrame, DataFrame]:
+    sized = written(docs.select(*_sized(docs, id_col, quality)), "mix-sized")
+    return sized, source_cuts(sized, **options)
+
+
+def mix(docs: DataFrame, *, id_col: str = "doc_id", quality=letters_share, **options) -> DataFrame:
+    """(id, size, source_size, target, taken, copies) of every document.
+
+    ``taken`` is the number of words that the mix takes of the document,
+    ``copies`` how many times it takes it.
+    """
+    sized, cuts = _cuts(docs, id_col, quality, **options)
+    rows = sized.select(F.struct("*").alias("mixed")).join(cuts, F.col("mixed.source").eqNullSafe(F.col("s")))
+    rows = rows.withColumn("copies", _copies())
+    return rows.select(
+        F.col("mixed.id").alias(id_col), "mixed.size", "source_size", "target", (F.col("mixed.size") * F.col("copies")).alias("taken"), "copies"
+    )
+
+
+def mixed(docs: DataFrame, *, id_col: str = "doc_id", quality=letters_share, **options) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it. Texts are read
+    twice and not shuffled: what is joined to them is one row per source."""
+    cuts = _cuts(docs, id_col, quality, **options)[1]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.struct(*_sized(docs, id_col, quality)).alias("mixed"))
+    rows = rows.join(cuts, F.col("mixed.source").eqNullSafe(F.col("s"))).withColumn("copies", _copies()).where("copies > 0")
+    return rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")).select("row.*")

@@ -9,7 +9,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mix_sources, url_filter
+from tidemark.llm import (
+    chat_trees,
+    mix_sources,
+    nra_topk,
+    quality_gbt,
+    secret_battery,
+    simhash_tiles,
+    suffix_buckets,
+    token_counts,
+    url_filter,
+    word_table_bpe,
+)
 from tidemark.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +38,73 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+# --- 1: quality rules -------------------------------------------------------
+
+
+@register("op1_quality_rules")
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_gbt.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+# --- 2: exact top-k search --------------------------------------------------
+
+
+@register("op2_topk_search", r"""
+WITH whole AS (
+  SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(1024.0::DOUBLE * CAST(x AS DOUBLE)) AS BIGINT))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: coalesce(p[1] * p[2], 0))) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 10""")
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nra_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+# --- 3: SimHash near-duplicates ---------------------------------------------
+
+
+@register("op3_simhash_dedup")
+def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_tiles.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+
+
+# --- 4: token counts --------------------------------------------------------
+
+
+@register("op4_token_counts")
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), limit=512)
+
+
+# --- 5: repeated strings ----------------------------------------------------
+
+
+@register("op5_suffix_dedup")
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_buckets.remove_repeats(table(spark, sf_dir, "documents"), length=200)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
+    return cut.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 # --- 6: mixing sources ------------------------------------------------------
 
 # {docs}: the table or CTE to mix
@@ -83,6 +161,34 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources.mix(table(spark, sf_dir, "documents"))
 
 
+# --- 7: chat formatting -----------------------------------------------------
+
+
+@register("op7_chat_format")
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    told = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", told), (-7, 1, "assistant", told)], rows.schema)
+    nodes = chat_trees.linear(rows.unionByName(more))
+    return chat_trees.digests(chat_trees.format_trees(nodes, top=1))
+
+
+# --- 8: BPE encoding and decoding -------------------------------------------
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    coded = word_table_bpe.encode(docs, tokenizer_path("word_bpe_49k.json"))
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@register("op8_bpe_codec")
+def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(table(spark, sf_dir, "documents"))
+
+
 # --- 9: URL filter ----------------------------------------------------------
 
 URL_RULES = [
@@ -137,3 +243,11 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     listed = pages.where(url_filter.host_of(F.col("url")).rlike(LISTED_HOSTS)).select("url")
     return url_filter.judge_urls(pages, listed, URL_RULES)
+
+
+# --- 10: secret scan --------------------------------------------------------
+
+
+@register("op10_secret_scan")
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_battery.scan(table(spark, sf_dir, "documents"))
