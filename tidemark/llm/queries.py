@@ -177,7 +177,8 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
-    coded = word_table_bpe.encode(docs, tokenizer_path("word_bpe_49k.json"))
+    path = tokenizer_path("word_bpe_49k.json")
+    coded = word_table_bpe.decode(word_table_bpe.encode(docs, path), path)
     return coded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),

@@ -3,46 +3,56 @@
 1. Texts are normalised (the library's normaliser) and split into words in
    Spark tasks; each task gives its distinct words with their counts, and one
    aggregate makes the table of distinct words.
-2. Every distinct word is encoded once, by the library's merges. Its ids are
-   decoded through a join with the id-to-piece table (bounded by the
-   vocabulary), once per distinct word.
-3. Ids and pieces go back to the documents by position: the most frequent
-   words, at most ``broadcast_words`` of them, are broadcast (a proven bound);
-   a document that has any other word takes those from the word table by an
-   equi join on the word, grouped by its text, whatever their number.
-
-Scale: what is shuffled is distinct words per task, and the texts that hold a
-rare word, once. The broadcast does not grow with the corpus. The number of
-words at each power of two of the count comes to the driver (at most 64 rows).
+2. Every distinct word is encoded once, by the library's merges: words that
+   occur more than once in the table's own job, a word that occurs once in the
+   whole corpus where it stands.
+3. Ids go back to the documents by position: the most frequent words, at most
+   ``broadcast_words`` of them, are broadcast (a proven bound); beyond that
+   bound, a document with a word that is not among them takes its words from
+   the table by an equi join on the word, grouped by its text. While the bound
+   holds every repeated word, that join has nothing to add and is not run.
+4. Ids are decoded by a join, by position, with the id-to-piece table, which
+   the vocabulary bounds.
+
+Scale: what is shuffled is distinct words per task, and beyond the bound the
+texts with a rare word, once. The broadcast does not grow with the corpus. The
+number of words at each power of two of the count comes to the driver (at most
+64 rows).
 
 Special strings inside texts are their own ids, as the library's default has
 it. Splitting is exact: a text with a code point that the two regex engines
 might class differently is split by the library (see token_counts).
 
-Defined cases: a null text is empty (0 ids, digests of nothing); repeated rows
+Defined cases: a null text is empty (no ids, decoded to nothing); repeated rows
 each give a row; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import struct
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
+from xxhash import xxh64_intdigest
 
 from tidemark.llm.common import written
 from tidemark.llm.token_counts import ClassProof, byte_of_char, load
 
-BROADCAST_WORDS = 400_000
-FLUSH_WORDS = 400_000  # a task gives its distinct words whenever it has so many
+BROADCAST_WORDS = 1_500_000
+FLUSH_WORDS = 200_000  # a task gives its distinct words whenever it has so many
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PROBES = (("x", r"\p{L}"), ("?", r"[^\s\p{L}\p{N}]"), ("", r"\S"))
 BYTES_PER_BATCH = 8 << 20
+CACHE_WORDS = 200_000
 
 
 class Splitter:
@@ -53,6 +63,7 @@ class Splitter:
         self.normal = self.tok.normalizer.normalize_str
         self.words = regex.compile(PATTERN).findall
         self.proof = ClassProof(self.tok.pre_tokenizer, PROBES)
+        self.ascii = self.proof.holds("".join(map(chr, range(128))))
         self.special = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
         ordered = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, ordered)) + ")") if ordered else None
@@ -66,6 +77,9 @@ class Splitter:
         return out
 
     def part(self, text: str) -> list[str]:
+        if self.ascii and text.isascii():
+            # the normaliser only lowers A-Z and joins white space, which is no part of a word
+            return self.words(text.lower())
         text = self.normal(text)
         if self.proof.holds(text):
             return self.words(text)
@@ -105,48 +119,38 @@ def distinct_words(docs: DataFrame, path: str) -> DataFrame:
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """(word, n, ids) with ids as an array, each word encoded once."""
+class Coder:
+    """Ids of single words by the library's merges, as little-endian 32-bit numbers."""
 
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = splitter(path)
-        char = {b: c for c, b in byte_of_char().items()}
-        tokenize = split.tok.model.tokenize
-
-        def ids(word: str) -> list[int]:
-            if word in split.special:
-                return [split.special[word]]
-            return [t.id for t in tokenize("".join(map(char.__getitem__, word.encode())))]
-
-        for batch in batches:
-            found = pa.array([ids(w) for w in batch.column(0).to_pylist()], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found], ["word", "n", "ids"])
+    def __init__(self, path: str):
+        self.special = splitter(path).special
+        self.tokenize = splitter(path).tok.model.tokenize
+        self.char = {b: c for c, b in byte_of_char().items()}
 
-    return words.select("word", "n").mapInArrow(encoded, "word string, n long, ids array<int>")
+    def __call__(self, word: str) -> bytes:
+        if word in self.special:
+            ids = [self.special[word]]
+        else:
+            ids = [t.id for t in self.tokenize("".join(map(self.char.__getitem__, word.encode())))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def id_pieces(spark: SparkSession, path: str) -> DataFrame:
-    """(id, piece): the vocabulary, special tokens included."""
-    vocab = load(path).get_vocab(with_added_tokens=True)
-    return spark.createDataFrame(pa.table({"id": pa.array(list(vocab.values()), pa.int32()), "piece": pa.array(list(vocab), pa.string())}))
+def word_table(docs: DataFrame, path: str) -> DataFrame:
+    """(word, n, ids) of every distinct word that occurs more than once."""
 
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = Coder(path)
+        for batch in batches:
+            found = pa.array([code(w) for w in batch.column(0).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found], ["word", "n", "ids"])
 
-def word_table(docs: DataFrame, path: str) -> DataFrame:
-    """(word, n, ids, decoded) of every distinct word; decoded: its pieces, space-joined."""
-    spark = docs.sparkSession
-    coded = written(encode_words(distinct_words(docs, path), path), "word-ids")
-    spots = coded.select("word", F.posexplode("ids").alias("at", "id"))
-    pieces = (
-        spots.join(F.broadcast(id_pieces(spark, path)), "id")  # bounded by the vocabulary
-        .groupBy("word")
-        .agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("told"))
-        .select(F.col("word").alias("word2"), F.array_join("told.piece", " ").alias("decoded"))
-    )
-    return written(coded.join(pieces, coded["word"] == pieces["word2"]).select("word", "n", "ids", "decoded"), "word-table")
+    repeated = distinct_words(docs, path).where("n > 1")
+    return written(repeated.mapInArrow(encoded, "word string, n long, ids binary"), "word-table")
 
 
-def frequent(table: DataFrame, most: int) -> DataFrame:
-    """The words of the highest counts, cut at a power of two so that at most ``most`` are left."""
+def frequent(table: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """The words of the highest counts, cut at a power of two so that at most
+    ``most`` are left, and the others."""
     power = F.floor(F.log2("n")).cast("int")
     left, least = 0, 64
     for r in table.groupBy(power.alias("p")).count().orderBy(F.desc("p")).collect():
@@ -154,99 +158,167 @@ def frequent(table: DataFrame, most: int) -> DataFrame:
         if left > most:
             break
         least = r.p
-    return table.where(power >= least)
-
-
-def _entries(words, ids, decoded) -> dict[str, tuple[bytes, str]]:
-    offsets, flat = ids.offsets.to_numpy() * 4, ids.values.to_numpy().astype("<u4").tobytes()
-    spans = zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
-    return {w: (flat[a:b], d) for w, (a, b), d in zip(words.to_pylist(), spans, decoded.to_pylist(), strict=True)}
+    return table.where(power >= least), table.where(power < least)
 
 
-def _row(known: dict, words: list[str]) -> tuple[bytes, str]:
-    found = [known[w] for w in words]
-    return b"".join([f[0] for f in found]), " ".join([f[1] for f in found])
-
-
-def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-    """Rows (id scalar, ids, decoded) in record batches of bounded bytes."""
+def _batches(rows: Iterator[tuple], names: list[str], kinds: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
+    """Rows in record batches of bounded bytes; the last values are texts or bytes."""
     held, size = [], 0
-
-    def out():
-        ids, coded, text = zip(*held, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array([i.as_py() for i in ids], ids[0].type), pa.array(coded, pa.binary()), pa.array(text, pa.string())], ["id", "ids", "decoded"])
-
     for row in rows:
         held.append(row)
-        size += len(row[1]) + len(row[2])
+        size += sum(map(len, row[1:]))
         if size >= BYTES_PER_BATCH:
-            yield out()
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], names)
             held, size = [], 0
     if held:
-        yield out()
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], names)
+
+
+class WordIds:
+    """The broadcast words, as arrays sorted by hash: a dictionary of a million
+    strings would take several times their bytes in every worker. Words met
+    lately are held in two dictionaries, a newer and an older, of at most
+    CACHE_WORDS together and the words of one text."""
+
+    def __init__(self, words: pa.Table):
+        self.h = words.column("h").to_numpy()
+        # one chunk each, also for an empty table
+        self.words, self.ids = (pa.concat_arrays([pa.array([], k), *words.column(c).chunks]) for c, k in (("word", pa.string()), ("ids", pa.binary())))
+        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def find(self, words: set[str]) -> None:
+        """Brings those of ``words`` that the table has into the cache."""
+        if len(self.cache) > CACHE_WORDS // 2:
+            self.cache, self.older = {}, self.cache
+        cache, older, new = self.cache, self.older, []
+        for w in words:
+            if w not in cache:
+                if w in older:
+                    cache[w] = older[w]
+                else:
+                    new.append(w)
+        h = np.array([xxh64_intdigest(w.encode(), 42) for w in new], np.uint64).view(np.int64)
+        for w, at, own in zip(new, np.searchsorted(self.h, h).tolist(), h.tolist(), strict=True):
+            while at < len(self.h) and self.h[at] == own:
+                if self.words[at].as_py() == w:
+                    self.cache[w] = self.ids[at].as_py()
+                    break
+                at += 1
+
+
+_KNOWN: dict[int, WordIds] = {}  # of the newest broadcast, one per worker
+
+
+def _known(dictionary) -> WordIds:
+    if dictionary.value["key"] not in _KNOWN:
+        _KNOWN.clear()
+        _KNOWN[dictionary.value["key"]] = WordIds(dictionary.value["words"])
+    return _KNOWN[dictionary.value["key"]]
 
 
 def encode(docs: DataFrame, path: str, *, broadcast_words: int = BROADCAST_WORDS, id_col: str = "doc_id") -> DataFrame:
-    """(id, ids, decoded) of every document: ids as little-endian unsigned 32-bit
-    numbers, decoded as the pieces of the ids, space-joined."""
+    """(id, ids) of every document; ids as little-endian unsigned 32-bit numbers."""
     spark = docs.sparkSession
-    words = word_table(docs, path)
-    top = frequent(words, broadcast_words).select("word", "ids", "decoded").toArrow()
-    dictionary = spark.sparkContext.broadcast(top)  # at most broadcast_words rows
-    cache: dict[str, dict] = {}
-
-    def known() -> dict:
-        if "all" not in cache:
-            t = dictionary.value
-            cache["all"] = _entries(*[t.column(i).combine_chunks() for i in range(3)]) if t.num_rows else {}
-        return cache["all"]
-
+    top, others = frequent(word_table(docs, path), broadcast_words)
+    hashed = top.select(F.xxhash64("word").alias("h"), "word", "ids").toArrow()  # at most broadcast_words rows
+    dictionary = spark.sparkContext.broadcast({"key": uuid.uuid4().int, "words": hashed.sort_by("h").combine_chunks()})
+    complete = others.isEmpty()
     rows = docs.select(F.col(id_col).alias("id"), F.col("text").cast("string").alias("text"))
-    out = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
+    out = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("ids", T.BinaryType())])
 
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Documents without a rare word."""
-        split, table = splitter(path), known()
+        """All documents; without the complete table, those that it is enough for."""
+        split, table, code = splitter(path), _known(dictionary), Coder(path)
+
+        def coded(text: str) -> bytes | None:
+            words = split(text)
+            try:
+                return b"".join(map(table.cache.__getitem__, words))
+            except KeyError:
+                table.find(set(words))
+            own = table.cache
+            if complete:  # the table has every word that occurs twice: what it lacks stands here alone
+                return b"".join([own[w] if w in own else code(w) for w in words])
+            return b"".join([own[w] for w in words]) if all(w in own for w in words) else None
 
-        def told():
-            for batch in batches:
-                for ident, text in zip(batch.column(0), batch.column(1), strict=True):
-                    own = split(text.as_py()) if text.is_valid else []
-                    if all(map(table.__contains__, own)):
-                        yield (ident, *_row(table, own))
-
-        return _batches(told())
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:
+                ids, found, size = [], [], 0
+                while at < batch.num_rows and size < BYTES_PER_BATCH:
+                    text = batch.column(1)[at]
+                    own = coded(text.as_py()) if text.is_valid else b""
+                    if own is not None:
+                        ids.append(at)
+                        found.append(own)
+                        size += len(own)
+                    at += 1
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids, pa.int64())), pa.array(found, pa.binary())], ["id", "ids"])
 
     done = rows.mapInArrow(plain, out)
-    if words.count() == top.num_rows:  # no word is rare
+    if complete:
         return done.withColumnRenamed("id", id_col)
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, table = splitter(path), known()
+        split, table = splitter(path), _known(dictionary)
         for batch in batches:
-            lists = [sorted({w for w in split(t.as_py()) if w not in table}) for t in batch.column(1)]
+            lists = []
+            for text in batch.column(1):
+                words = set(split(text.as_py()))
+                table.find(words)
+                lists.append(sorted(w for w in words if w not in table.cache))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(pa.string()))], ["key", "rare"])
 
     # equal texts ask once: a text stands for itself by its digest
-    keyed = rows.where("text is not null").withColumn("key", F.sha2("text", 256))
-    asked = keyed.select("key", "text").mapInArrow(rare, "key string, rare array<string>").where(F.size("rare") > 0)
-    wanted = written(asked.groupBy("key").agg(F.first("rare").alias("rare")).select("key", F.explode("rare").alias("want")), "bpe-rare")
-    answers = wanted.join(words, wanted["want"] == words["word"]).groupBy("key").agg(
-        F.collect_list(F.struct("word", "ids", "decoded")).alias("found")  # at most the words of one text
+    keyed = rows.where("text is not null").withColumn("key", F.unhex(F.md5("text")))
+    asked = keyed.select("key", "text").mapInArrow(rare, "key binary, rare array<string>").where(F.size("rare") > 0)
+    asked = written(asked.groupBy("key").agg(F.first("rare").alias("rare")), "bpe-rare")
+    wanted = asked.select("key", F.explode("rare").alias("want"))
+    answers = wanted.join(others, wanted["want"] == others["word"], "left").groupBy("key").agg(
+        F.collect_list(F.when(F.col("ids").isNotNull(), F.struct("word", "ids"))).alias("found")  # at most the words of one text
     )
     answers = written(answers.withColumnRenamed("key", "key2"), "bpe-answers")
     left = keyed.join(answers, keyed["key"] == answers["key2"]).select("id", "text", "found")
 
     def late(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, table = splitter(path), known()
+        split, table, code = splitter(path), _known(dictionary), Coder(path)
 
         def told():
             for batch in batches:
                 for ident, text, found in zip(*batch.columns, strict=True):
-                    own = split(text.as_py())
-                    more = {f["word"]: (np.asarray(f["ids"], "<u4").tobytes(), f["decoded"]) for f in found.as_py()}
-                    yield (ident, *_row({w: more[w] if w in more else table[w] for w in set(own)}, own))
+                    more = {f["word"]: f["ids"] for f in found.as_py()}
+                    words = split(text.as_py())
+                    table.find(set(words))
+                    own = table.cache
+                    # a word that neither has stands here alone
+                    yield ident.as_py(), b"".join([own[w] if w in own else more[w] if w in more else code(w) for w in words])
 
-        return _batches(told())
+        return _batches(told(), ["id", "ids"], [kind, pa.binary()])
 
+    kind = to_arrow_type(out["id"].dataType)
     return done.unionByName(left.mapInArrow(late, out)).withColumnRenamed("id", id_col)
+
+
+def decode(coded: DataFrame, path: str, *, id_col: str = "doc_id") -> DataFrame:
+    """(id, ids, decoded): the pieces of the ids in their order, space-joined."""
+    vocab = load(path).get_vocab(with_added_tokens=True)
+    pieces = [""] * (max(vocab.values()) + 1)
+    for piece, i in vocab.items():
+        pieces[i] = piece
+    table = coded.sparkSession.sparkContext.broadcast(pieces)  # bounded by the vocabulary
+
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece = table.value.__getitem__
+        for batch in batches:
+            # a few documents at a time: texts are several times as long as ids
+            size = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64))
+            cuts = np.flatnonzero(np.diff(size // (BYTES_PER_BATCH // 2))) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(size)], strict=True):
+                part = batch.slice(a, b - a)
+                texts = [" ".join(map(piece, np.frombuffer(i.as_py(), "<u4").tolist())) for i in part.column(1)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], ["id", "ids", "decoded"])
+
+    rows = coded.select(F.col(id_col).alias("id"), "ids")
+    out = T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())])
+    return rows.mapInArrow(decoded, out).withColumnRenamed("id", id_col)
