@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tidemark.plans import catalog
 from tidemark.sources.testdata import TABLES
 
 from .conftest import SF_SMALL
@@ -21,7 +22,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries()) - NO_ORACLE
+    assert set(catalog.ORACLE_SQL) == set(catalog.QUERIES) - NO_ORACLE
+    assert set(catalog.QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.fixture(scope="module")
@@ -38,7 +40,7 @@ def _norm(v):
     return v if v is None or isinstance(v, (int, str, bool)) else str(v)
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - STREAMING - NO_ORACLE))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - STREAMING - NO_ORACLE))
 def test_query_matches_oracle_small(spark, duck, name):
     sdf = E.queries()[name](spark, SF_SMALL)
     cur = duck.execute(E.oracle_sql()[name])
