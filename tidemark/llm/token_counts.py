@@ -102,7 +102,7 @@ class Counter:
     def merge(self, pieces: set[str]) -> None:
         if len(self.cost) > CACHE_LIMIT:
             self.cost = dict.fromkeys(self.whole, 1)
-        new = list(pieces - self.cost.keys())
+        new = [p for p in pieces if p not in self.cost]  # the cache is far larger than a text
         for p, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False), strict=True):
             self.cost[p] = len(e.ids)
 
