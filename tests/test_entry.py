@@ -10,7 +10,7 @@ from tidemark.sources.testdata import TABLES
 
 from .conftest import SF_SMALL
 
-STREAMING = {"stream_incremental", "stream_lifecycle"}
+STREAMING = {"stream_incremental", "stream_incremental_restart", "stream_lifecycle"}
 NO_ORACLE = {"skewed_request_lifecycle"}
 
 

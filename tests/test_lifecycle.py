@@ -152,3 +152,14 @@ def test_fold_property_against_replay(spark):
         assert final == exp_final and outcomes == exp_out
 
     check()
+
+
+def test_outcomes_with_a_repeated_seq(spark):
+    """``seq`` may repeat at another time: one row per command, applied or not on its own."""
+    day = [dt.datetime(2030, 5, d) for d in (1, 2, 3)]
+    cmds = spark.createDataFrame(
+        [("k", day[0], 1, "ELIGIBLE"), ("k", day[1], 1, "VALIDATED"), ("k", day[2], 1, "REGISTERED")],
+        "key string, ts timestamp, seq long, target string")
+    _, moves = L.fold_transitions(cmds)
+    got = L.command_outcomes(cmds, moves).orderBy("ts").collect()
+    assert [(r.target, r.applied) for r in got] == [("ELIGIBLE", True), ("VALIDATED", True), ("REGISTERED", False)]

@@ -110,3 +110,12 @@ def test_ordering_helpers(spark):
                                 ("c", None)], "id string, source_updated_at timestamp")
     assert [r.id for r in R.newest_first(df).collect()] == ["a", "b", "c"]
     assert [r.id for r in R.oldest_first(df).collect()] == ["c", "b", "a"]
+
+
+def test_timestamp_text_is_matched_whole(spark):
+    from tidemark.functions.text import try_timestamp
+
+    texts = ["2031-02-03T04:05:06 Europe/Paris", "2031-02-03T04:05:06UTC", "2031-02-03T04:05:06 PST", "2031-02-03T4:5:6", "04:05:06"]
+    good = ["2031-02-03", "2031-02-03T04:05:06Z", "2031-02-03 04:05", "2031-02-03T04:05:06.25+01:00"]
+    df = spark.createDataFrame([(t,) for t in texts + good], "t string").select(try_timestamp("t").alias("v"))
+    assert [r.v is not None for r in df.collect()] == [False] * len(texts) + [True] * len(good)

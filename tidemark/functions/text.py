@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 NUMERIC_PATTERN = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?|nan)\s*$"
 # calendar date text YYYY-MM-DD, month and day may be unpadded.
 DATE_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}$"
-# timestamp text must start with a full date.
-TIMESTAMP_PREFIX_PATTERN = r"^\d{4}-\d{2}-\d{2}"
+# timestamp text: a full date, then maybe a padded time, a fraction and a numeric offset or Z.
+TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 # Whitespace trimmed from text ends: every character Python's ``str.isspace``
 # accepts (the rule the reference's ``strip()`` applies), built by rule.
 WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
@@ -73,12 +73,12 @@ def is_calendar_date(c: Column | str) -> Column:
 def try_timestamp(c: Column | str) -> Column:
     """ISO-8601 text -> timestamp; ``Z`` equals ``+00:00``; bad text -> NULL.
 
-    Text that does not start with a full date is refused, so ``10:00:00``
-    cannot turn into today's date.
+    The whole text must match: ``10:00:00`` cannot turn into today's date, and
+    zone names or unpadded times are refused.
     """
     text = ws_trim(c)
     return F.when(
-        F.coalesce(text.rlike(TIMESTAMP_PREFIX_PATTERN), F.lit(False)),
+        F.coalesce(text.rlike(TIMESTAMP_PATTERN), F.lit(False)),
         text.try_cast("timestamp"),
     )
 

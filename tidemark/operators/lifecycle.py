@@ -74,7 +74,6 @@ def fold_transitions(
     start: str = P.NEW,
     initial: DataFrame | None = None,
     key: str = "key",
-    max_rounds: int | None = None,
     materialize_commands: bool = False,
     add_missing_keys: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
@@ -97,7 +96,7 @@ def fold_transitions(
         # longest path from any state, or iterate to a fixed point.
         depths = [P.relation_depth(relation, s) for s in set(relation) | {start}]
         depth = None if any(d is None for d in depths) else max(depths)
-    rounds = max_rounds if max_rounds is not None else depth
+    rounds = depth
     payload = [c for c in commands.columns if c not in (key, "ts", "seq", "target")]
 
     cmds = commands.select(F.col(key).alias("key"), "ts", "seq", "target", *payload)
@@ -214,9 +213,10 @@ def command_outcomes(
     acyclic relation, a proven bound), so they travel as one row per key with
     a column per step; each command picks the last move before it. The join
     of commands with that one-row-per-key table is left to AQE, which splits
-    a hot key's partition. For a cyclic relation the moves per key are
-    bounded by the fold's ``max_rounds``; pass one, or use the streaming
-    state operator, when keys may cycle without limit.
+    a hot key's partition. Under a cyclic relation a key's moves have no such
+    bound; use the streaming state operator when keys may cycle without limit.
+    A command applied if a move has its whole position and target: ``seq``
+    alone may repeat at another ``ts``.
     """
     cmd = commands.select(F.col(key).alias("key"), "ts", "seq", "target")
     bound = P.relation_depth(relation, start)
@@ -248,7 +248,8 @@ def command_outcomes(
     else:
         hist = hist.withColumn("init", F.lit(None).cast("string"))
     joined = cmd.join(hist, "key", "left").join(
-        moves.select("key", "seq", F.lit(True).alias("applied")), ["key", "seq"], "left")
+        moves.select("key", "ts", "seq", F.col("to_status").alias("target"), F.lit(True).alias("applied")),
+        ["key", "ts", "seq", "target"], "left")
     state_at = F.coalesce(*seen, F.col("init"), F.lit(start))
     applied = F.coalesce(F.col("applied"), F.lit(False))
     return joined.select(

@@ -36,11 +36,32 @@ def q_stream_incremental(spark, sf_dir):
     landing = land(src, scratch_path(spark, "landing", run, "flat"),
                    F.substring("LastModifiedDate", 1, 4))
     sinks = incremental.run_incremental(
-        spark, landing, policy=POLICY, files_per_trigger=2, schema=src.schema)
+        spark, landing, scratch_path(spark, "incremental", run, "sinks"),
+        scratch_path(spark, "incremental", run, "checkpoint"), POLICY,
+        files_per_trigger=2, schema=src.schema)
     changes = incremental.read_sink(spark, sinks.changes)
     return changes.select("opportunity_id", "status", "error")
 
 
+@register("stream_incremental_restart", f"""
+WITH {rules_sql(SQL_FLAT_DEALS)}
+SELECT opportunity_id, status, nullif(errors_text, '') AS error FROM evaluated""")
+def q_stream_incremental_restart(spark, sf_dir):
+    """Half of the source is drained, the rest lands with some records sent
+    again, and a new checkpoint with another trigger size starts over on the
+    same sinks: every version comes out once."""
+    run = uuid.uuid4().hex[:12]
+    src = T.flat_source(spark, sf_dir)
+    landing, sinks_root = (scratch_path(spark, "restart", run, d) for d in ("landing", "sinks"))
+    part = F.pmod(F.xxhash64("Opportunity_ID"), F.lit(6))
+    for i, rows in enumerate((src.where(part < 3), src.where((part >= 3) | (part == 0)))):
+        rows.repartition(2 + i, "Opportunity_ID").write.mode("append").parquet(landing)
+        sinks = incremental.run_incremental(
+            spark, landing, sinks_root, scratch_path(spark, "restart", run, f"checkpoint-{i}"), POLICY,
+            files_per_trigger=1 + i, schema=src.schema)
+    return incremental.read_sink(spark, sinks.changes).select("opportunity_id", "status", "error")
+
+
 @register("stream_lifecycle", f"""
 WITH RECURSIVE {SQL_FOLD}
 SELECT key, state AS status, moves, last_seq

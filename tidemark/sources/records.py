@@ -144,11 +144,11 @@ def alias_plan(columns: Sequence[str]) -> list[tuple[str, str]]:
     case-insensitively, so the choice must not go through the resolver).
     """
     present = set(columns)
-    chosen: dict[str, str] = {}
-    for source, canonical in SOURCE_ALIASES:
-        if source in present and canonical not in chosen:
-            chosen[canonical] = source
-    return [(src, dst) for dst, src in chosen.items()]
+    spellings: dict[str, list[str]] = {}
+    for spelling, canonical in SOURCE_ALIASES:
+        spellings.setdefault(canonical, []).append(spelling)
+    firsts = ((next((s for s in known if s in present), None), canonical) for canonical, known in spellings.items())
+    return [(source, canonical) for source, canonical in firsts if source is not None]
 
 
 def normalize_fields(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -45,7 +45,9 @@ def read_table(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
         df = reader.parquet(root)
         df.schema
         return df
-    except AnalysisException:
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 

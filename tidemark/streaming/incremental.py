@@ -15,8 +15,8 @@ never emitted twice). Processed rows are written last.
 
 from __future__ import annotations
 
+import hashlib
 import os
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +27,7 @@ from pyspark import StorageLevel
 
 from tidemark.operators import audit, rules, sync, versions
 from tidemark.plans import policy as P
-from tidemark.session import scratch_path, spread
+from tidemark.session import spread
 from tidemark.sources import records as R
 
 
@@ -56,6 +56,7 @@ PROCESSED_SCHEMA = T.StructType([
     T.StructField("opportunity_id", T.StringType()),
     T.StructField("fingerprint", T.StringType()),
     T.StructField("processed_at", T.TimestampType()),
+    T.StructField("run", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ])
 
@@ -66,7 +67,9 @@ def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> Data
         df = spark.read.schema(schema).parquet(path)
         df.schema  # resolves the path
         return df
-    except AnalysisException:
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise  # a sink that cannot be read is not an empty sink
         return spark.createDataFrame([], schema)
 
 
@@ -79,12 +82,19 @@ def first_per_version(df: DataFrame) -> DataFrame:
     return agg.select(*versions.VERSION_KEYS, *[F.col(f"r.{c}").alias(c) for c in cols])
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(os.path.join(path, f"batch_id={batch_id}"))
+def run_id(checkpoint: str) -> str:
+    """Names the micro-batches of one checkpoint: batch numbers start again at 0
+    with every new checkpoint, so they tell batches apart only within a run."""
+    return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+
+def _write_batch(df: DataFrame, path: str, run: str, batch_id: int) -> None:
+    df.write.mode("overwrite").parquet(os.path.join(path, f"run=r{run}", f"batch_id={batch_id}"))
 
 
 def process_batch(batch: DataFrame, batch_id: int, sinks: IncrementalSinks,
-                  policy: P.Policy, source_system: str = "flat-file") -> None:
+                  policy: P.Policy, source_system: str = "flat-file",
+                  run: str = "direct") -> None:
     """One micro-batch: canonicalise, evaluate, skip processed versions, write."""
     spark = batch.sparkSession
     # a micro-batch of a few files is read by a few tasks; spread it over the
@@ -93,21 +103,21 @@ def process_batch(batch: DataFrame, batch_id: int, sinks: IncrementalSinks,
         StorageLevel.MEMORY_AND_DISK)
     ev = audit.with_request_id(versions.with_fingerprint(rules.evaluate(deals, policy)))
     prior = _read_or_empty(spark, sinks.processed, PROCESSED_SCHEMA).where(
-        F.col("batch_id") != F.lit(batch_id))
+        (F.col("run") != F.lit(f"r{run}")) | (F.col("batch_id") != F.lit(batch_id)))
     fresh = versions.drop_processed(ev, prior)
     # one row per version even if the batch carries copies of it; kept for
     # the four writes below (recomputed from the source files if lost)
     fresh = first_per_version(fresh).persist(StorageLevel.MEMORY_AND_DISK)
     clock = F.col("source_updated_at")
-    _write_batch(audit.evaluation_events(fresh, clock), sinks.events, batch_id)
+    _write_batch(audit.evaluation_events(fresh, clock), sinks.events, run, batch_id)
     changes = audit.evaluation_changes(fresh, clock).withColumn(
         "validation_errors", F.array_join("validation_errors", P.ERROR_SEPARATOR))
-    _write_batch(changes, sinks.changes, batch_id)
+    _write_batch(changes, sinks.changes, run, batch_id)
     marks = sync.advance_marks(
         deals, spark.createDataFrame([], "source string, watermark timestamp"))
-    _write_batch(marks, sinks.marks, batch_id)
+    _write_batch(marks, sinks.marks, run, batch_id)
     processed = fresh.select(*versions.VERSION_KEYS, clock.alias("processed_at"))
-    _write_batch(processed, sinks.processed, batch_id)
+    _write_batch(processed, sinks.processed, run, batch_id)
     fresh.unpersist()
     deals.unpersist()
 
@@ -115,8 +125,8 @@ def process_batch(batch: DataFrame, batch_id: int, sinks: IncrementalSinks,
 def run_incremental(
     spark: SparkSession,
     source_dir: str,
-    sinks_root: str | None = None,
-    checkpoint: str | None = None,
+    sinks_root: str,
+    checkpoint: str,
     policy: P.Policy | None = None,
     files_per_trigger: int = 1,
     source_format: str = "parquet",
@@ -127,17 +137,21 @@ def run_incremental(
     ``availableNow`` drains the backlog in several micro-batches (bounded by
     ``files_per_trigger``) and stops, which is how a scheduled incremental
     job runs; the same query with a processing-time trigger runs forever.
+    Sinks and checkpoint are the caller's and stay between calls. With the
+    same checkpoint a call goes on where the last one stopped; with a new one
+    on used sinks the files are read again, and versions that any earlier run
+    has processed are skipped: its output is never overwritten.
     """
     policy = policy or P.default_policy()
-    run = uuid.uuid4().hex[:12]
-    sinks = IncrementalSinks(sinks_root or scratch_path(spark, "incremental", run, "sinks"))
-    checkpoint = checkpoint or scratch_path(spark, "incremental", run, "checkpoint")
+    sinks = IncrementalSinks(sinks_root)
+    run = run_id(checkpoint)
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
               .format(source_format))
     if source_format == "csv":
-        stream = stream.option("header", True)
+        # columns go by the names of each file's header, never by position
+        stream = stream.option("header", True).option("enforceSchema", False)
     q = (stream.load(source_dir).writeStream
-         .foreachBatch(lambda df, bid: process_batch(df, bid, sinks, policy))
+         .foreachBatch(lambda df, bid: process_batch(df, bid, sinks, policy, run=run))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
