@@ -82,33 +82,37 @@ def _same_tree(a: str, b: str):
     return F.col(a).eqNullSafe(F.col(b))
 
 
-def _ancestors(nodes: DataFrame) -> list[DataFrame]:
-    """Tables of (tree, node, up, steps, total): table k has the ancestor 2^k
-    steps up, or null past the root, with the steps and scores of the nodes passed."""
+def _ancestors(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Tables of (tree, node, up, steps, total): table k has the nodes with an
+    ancestor 2^(k-1) steps up and the one 2^k steps up, or null past the root,
+    with the steps and scores of the nodes passed. And the nodes that have
+    reached their root; only the others go into the next round."""
     parents = nodes.select(F.col("tree").alias("t2"), F.col("node").alias("n2"))
     first = nodes.join(parents, _same_tree("tree", "t2") & (F.col("parent") == F.col("n2")), "left").select(
         "tree", "node", F.col("n2").alias("up"), F.lit(1).cast("long").alias("steps"), F.coalesce("score", F.lit(0.0)).alias("total")
     )
     tables = [written(first, "chat-up-0")]
+    ended = tables[0].where("up is null")
     rounds = max(1, nodes.count()).bit_length()  # a path is no longer than the table
     while len(tables) <= rounds and not tables[-1].where("up is not null").isEmpty():
-        now = tables[-1]
-        above = now.select(F.col("tree").alias("t2"), F.col("node").alias("n2"), F.col("up").alias("up2"), F.col("steps").alias("s2"), F.col("total").alias("w2"))
-        double = now.join(above, _same_tree("tree", "t2") & (F.col("up") == F.col("n2")), "left").select(
-            "tree", "node", F.col("up2").alias("up"), (F.col("steps") + F.coalesce("s2", F.lit(0))).alias("steps"),
-            (F.col("total") + F.coalesce("w2", F.lit(0.0))).alias("total"),
+        now = tables[-1].where("up is not null")
+        above = now.unionByName(ended).select(
+            F.col("tree").alias("t2"), F.col("node").alias("n2"), F.col("up").alias("up2"), F.col("steps").alias("s2"), F.col("total").alias("w2")
+        )
+        double = now.join(above, _same_tree("tree", "t2") & (F.col("up") == F.col("n2"))).select(
+            "tree", "node", F.col("up2").alias("up"), (F.col("steps") + F.col("s2")).alias("steps"), (F.col("total") + F.col("w2")).alias("total")
         )
         tables.append(written(double, f"chat-up-{len(tables)}"))
-    return tables
+        ended = ended.unionByName(tables[-1].where("up is null"))
+    return tables, ended
 
 
 def paths(nodes: DataFrame, top: int | None = 1) -> DataFrame:
     """(tree, leaf, rank, score, node, place) of the ``top`` best branches of each
     tree (None: all); place counts from the leaf."""
     nodes = nodes.select("tree", "node", "parent", "score")
-    tables = _ancestors(nodes)
+    tables, rooted = _ancestors(nodes)  # the rest runs in a circle
     parents = nodes.where("parent is not null").select(F.col("tree").alias("t2"), F.col("parent").alias("n2")).distinct()
-    rooted = tables[-1].where("up is null")  # the rest runs in a circle
     leaves = rooted.join(parents, _same_tree("tree", "t2") & (F.col("node") == F.col("n2")), "left_anti").select(
         "tree", F.col("node").alias("leaf"), "steps", (F.col("total") / F.col("steps")).alias("score")
     )
