@@ -3,17 +3,20 @@
 Vectors become whole numbers, ``floor(scale * x)`` per component. Candidates
 are cut by hash of their id into blocks, queries into blocks of their own, and
 every query block meets every candidate block once (a stated query set against
-all rows, in blocks). A block keeps one sorted list per component. For a query
-the lists are read in step from the end that helps it most, a stretch at a
-time:
-
-- a vector seen in some lists has a lower bound (what was read, plus each
-  unread list's worst value) and an upper bound (plus each unread list's next
-  value); a vector not yet seen is bounded by the next values alone;
-- reading stops when the k-th lower bound is above the bound of the unseen and
-  every seen vector outside is below it or among the survivors;
+all rows, in blocks). A block keeps one sorted list per component. The lists
+are read in step, a stretch at a time, from the large end for a query's
+positive components and from the small end for its negative ones:
+
+- a vector has a lower bound (what was read, plus each unread list's worst
+  value) and an upper bound (plus each unread list's next value); one that no
+  list has shown yet is bounded by the worst and the next values alone;
+- a query stops reading when all but a few vectors have an upper bound below
+  the k-th lower bound;
 - the survivors' scores are then resolved from their remaining components.
 
+What was read to a depth is the same for all queries, but for the end read
+from; so the bounds of many queries are one matrix product a depth.
+
 Each pair of blocks gives at most k rows per query. Those are merged by a rank
 per query whose limit Spark pushes below the shuffle.
 
@@ -42,7 +45,8 @@ from tidemark.llm.common import written
 SCALE = 1024
 K = 10
 BLOCK = 4096  # candidates
-QUERIES = 128  # per block
+QUERIES = 1024  # per block
+TOGETHER = 128  # queries of a block whose bounds are kept at once
 STRETCH = 64  # entries read from each list at first; doubles
 
 
@@ -61,47 +65,48 @@ class Block:
     def __init__(self, ids: np.ndarray, x: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.x = ids[order], x[order]
-        self.lists = np.argsort(self.x, axis=0, kind="stable")  # ascending, a column per component
-        self.sorted = np.take_along_axis(self.x, self.lists, axis=0)
+        self.rank = np.argsort(np.argsort(self.x, axis=0, kind="stable"), axis=0, kind="stable")  # place in the component's ascending list
+        self.sorted = np.sort(self.x, axis=0).astype(float)
 
-    def top(self, q: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
-        """(places, scores) of the k best for ``q``, without the row with id ``own``."""
+    def read(self, at: int) -> tuple[np.ndarray, np.ndarray]:
+        """What is known once every list is read ``at`` entries deep: the least
+        and the most that each vector can add per component, first for positive
+        weights (lists read from the large end), then for negative ones."""
+        n = len(self.ids)
+        down, up = self.rank >= n - at, self.rank < at
+        after = min(at, n - 1)
+        worst = [np.where(down, self.x, self.sorted[0]), np.where(up, self.x, self.sorted[-1])]
+        best = [np.where(down, self.x, self.sorted[n - 1 - after]), np.where(up, self.x, self.sorted[after])]
+        return np.concatenate(worst, axis=1), np.concatenate(best, axis=1)
+
+    def top(self, q_ids: np.ndarray, q: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(places, scores) of the k best for each row of ``q``, without the row of the query's own id."""
         n = len(self.ids)
-        dims = np.flatnonzero(q)  # a zero component adds nothing, whatever the vector
-        w = q[dims]
-        # descending contributions: from the large end for a positive weight, from the small end for a negative
-        lists = np.where(w > 0, self.lists[::-1, dims], self.lists[:, dims])
-        gains = np.where(w > 0, self.sorted[::-1, dims], self.sorted[:, dims]) * w
-        worst = gains[-1] if n else np.zeros(len(w))
-        part = np.zeros(n)
-        read = np.zeros((n, len(dims)), bool)
-        skip = np.searchsorted(self.ids, own)
-        skip = skip if skip < n and self.ids[skip] == own else -1
-        at, stretch = 0, STRETCH
-        alive = np.arange(n)
-        while at < n and len(dims):
-            to = min(n, at + stretch)
-            places = lists[at:to].ravel()
-            part += np.bincount(places, gains[at:to].ravel(), n)
-            read[places, np.tile(np.arange(len(dims)), to - at)] = True
-            at, stretch = to, 2 * stretch
-            following = gains[at] if at < n else worst
-            unread = ~read[alive]
-            seen = ~unread.all(axis=1)
-            low = part[alive] + unread @ worst
-            high = part[alive] + unread @ following
-            ranked = low[seen & (alive != skip)]
-            if len(ranked) < k:
-                continue
-            floor = np.partition(ranked, len(ranked) - k)[len(ranked) - k]
-            # a vector that can still tie stays: ties go to the smaller id
-            alive = alive[high >= floor]
-            if following.sum() < floor and len(alive) <= max(4 * k, n // 64):
-                break
-        alive = alive[alive != skip]
-        scores = self.x[alive] @ q  # resolves the unread components of the survivors
-        best = np.lexsort((self.ids[alive], -scores))[:k]
-        return alive[best], scores[best]
+        weights = np.concatenate([np.maximum(q, 0), np.minimum(q, 0)], axis=1).astype(float)
+        own = np.searchsorted(self.ids, q_ids)
+        own = np.where(self.ids[np.minimum(own, n - 1)] == q_ids, own, -1)
+        found: list = [None] * len(q)
+        reading, at, stretch = np.arange(len(q)), 0, STRETCH
+        while len(reading):
+            at, stretch = min(n, at + stretch), 2 * stretch
+            worst, best = self.read(at)
+            on = []
+            for some in np.array_split(reading, -(-len(reading) // TOGETHER)):
+                low, high = weights[some] @ worst.T, weights[some] @ best.T
+                itself = np.flatnonzero(own[some] >= 0)
+                low[itself, own[some][itself]] = high[itself, own[some][itself]] = -np.inf
+                floor = np.partition(low, n - k, axis=1)[:, n - k, None] if n >= k else -np.inf
+                # a vector that can still tie stays: ties go to the smaller id
+                alive = (high >= floor) & (high > -np.inf)
+                done = (alive.sum(axis=1) <= max(4 * k, n // 64)) | (at == n)
+                on.append(some[~done])
+                for row in np.flatnonzero(done):
+                    places, i = np.flatnonzero(alive[row]), some[row]
+                    scores = self.x[places] @ q[i]  # resolves the unread components of the survivors
+                    order = np.lexsort((self.ids[places], -scores))[:k]
+                    found[i] = places[order], scores[order]
+            reading = np.concatenate(on)
+        return found
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -139,8 +144,7 @@ def top_k(rows: DataFrame, queries: Column, *, k: int = K, block: int = BLOCK, q
             width = max(int(np.diff(c.offsets.to_numpy()).max()) for c in cols[1::2])
             q_ids, q = cols[0].to_numpy(), _matrix(cols[1], width)
             cands = Block(cols[2].to_numpy(), _matrix(cols[3], width))
-            for i, row in zip(q_ids.tolist(), q, strict=True):
-                places, scores = cands.top(row, k, i)
+            for i, (places, scores) in zip(q_ids.tolist(), cands.top(q_ids, q, k), strict=True):
                 out += zip([i] * len(places), cands.ids[places].tolist(), scores.tolist(), strict=True)
         a, b, c = zip(*out, strict=True) if out else ((), (), ())
         return pa.table({"query_id": pa.array(a, pa.int64()), "id": pa.array(b, pa.int64()), "score": pa.array(c, pa.int64())})
