@@ -21,7 +21,7 @@ from tidemark.llm import (
     url_filter,
     word_table_bpe,
 )
-from tidemark.llm.common import table
+from tidemark.llm.common import table, written
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -178,7 +178,9 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
     path = tokenizer_path("word_bpe_49k.json")
-    coded = word_table_bpe.decode(word_table_bpe.encode(docs, path), path)
+    # written between: a task holds the workers and tables of one direction only
+    ids = written(word_table_bpe.encode(docs, path), "bpe-ids")
+    coded = word_table_bpe.decode(ids, path)
     return coded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),

@@ -182,8 +182,8 @@ class WordIds:
 
     def __init__(self, words: pa.Table):
         self.h = words.column("h").to_numpy()
-        # one chunk each, also for an empty table
-        self.words, self.ids = (pa.concat_arrays([pa.array([], k), *words.column(c).chunks]) for c, k in (("word", pa.string()), ("ids", pa.binary())))
+        # one chunk each, none for an empty table; not copied, as the broadcast stays in memory
+        self.words, self.ids = (c.chunk(0) if c.num_chunks == 1 else c.combine_chunks() for c in (words.column("word"), words.column("ids")))
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
