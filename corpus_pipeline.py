@@ -33,7 +33,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def bpe_codec(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe_digests(docs)
+    return bpe_digests(docs, cut=True)  # earlier stages have left the executors little memory
 
 
 STAGES = [

@@ -176,11 +176,13 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- 8: BPE encoding and decoding -------------------------------------------
 
 
-def bpe_digests(docs: DataFrame) -> DataFrame:
+def bpe_digests(docs: DataFrame, *, cut: bool = False) -> DataFrame:
+    """Digests of ids and decoded texts. ``cut`` writes the ids in between, so
+    that a task holds the workers and tables of one direction only: less memory
+    for more disk and time."""
     path = tokenizer_path("word_bpe_49k.json")
-    # written between: a task holds the workers and tables of one direction only
-    ids = written(word_table_bpe.encode(docs, path), "bpe-ids")
-    coded = word_table_bpe.decode(ids, path)
+    ids = word_table_bpe.encode(docs, path)
+    coded = word_table_bpe.decode(written(ids, "bpe-ids") if cut else ids, path)
     return coded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
