@@ -82,21 +82,21 @@ def _errors(spark, record):
     return rules.with_validation(df, POLICY).collect()[0]["validation_errors"]
 
 
-VALID = dict(account_name="ABC", opportunity_name="ABC Migration", country="USA",
-             amount="250000", industry="Financial Services", partner=PARTNER,
-             close_date="2026-09-30")
+VALID = dict(account_name="Harbour Freight Lab", opportunity_name="Crane telemetry", country="Chile",
+             amount="4820.75", industry="Shipping", partner=PARTNER,
+             close_date="2031-07-04")
 
 
 def test_valid_and_invalid_record(spark):
     assert _errors(spark, VALID) == []
-    errs = _errors(spark, dict(VALID, amount="not-a-number", close_date="30-09-2026"))
+    errs = _errors(spark, dict(VALID, amount="4,820", close_date="July 2031"))
     assert errs == ["Invalid format: amount must be numeric",
                     "Invalid format: close_date must be YYYY-MM-DD"]
 
 
 def test_all_errors_reported_in_rule_order(spark):
     errs = _errors(spark, dict(VALID, account_name="  ", amount="-1", partner="Other",
-                               close_date="2026-02-30"))
+                               close_date="2031-02-30"))
     assert errs == [
         "Missing: account_name",
         "Invalid value: amount must be greater than 0",
