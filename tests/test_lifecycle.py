@@ -4,6 +4,8 @@ sequential replay on small fixtures."""
 import datetime as dt
 import random
 
+import pytest
+
 from tidemark.operators import lifecycle as L
 from tidemark.operators import review
 from tidemark.plans import policy as P
@@ -65,12 +67,33 @@ def test_hot_key_with_a_third_of_rows(spark):
     assert final == exp_final and outcomes == exp_out
 
 
-def test_cyclic_relation_iterates_to_fixed_point(spark):
+def test_cyclic_relation_is_refused(spark):
     relation = {"NEW": ("on",), "on": ("off",), "off": ("on",)}
-    cmds = random_commands(120, 5, ["on", "off"], seed=3)
-    final, outcomes, _ = run_fold(spark, cmds, relation, "NEW")
-    exp_final, exp_out = brute_fold(cmds, relation, "NEW")
-    assert final == exp_final and outcomes == exp_out
+    cmds = random_commands(10, 2, ["on", "off"], seed=3)
+    with pytest.raises(ValueError, match="cycle"):
+        run_fold(spark, cmds, relation, "NEW")
+
+
+def test_decisions_touch_decided_requests_only(spark):
+    """Of many requests the fold writes and joins those with a decision."""
+    cols = ("request_id string, opportunity_id string, status string, validation_errors array<string>, "
+            "approved_by string, approved_at timestamp, registration_number string, submitted_at timestamp, "
+            "error string, updated_at timestamp, change_seq long, last_event_seq long")
+    requests = spark.createDataFrame([(f"r{i}", f"o{i}", "VALIDATED", [], None, None, None, None, None, T0, 1, 2)
+                                      for i in range(50)], cols)
+    decisions = spark.createDataFrame(
+        [("r7", "REVIEW", "a", None, T0, 1), ("r7", "APPROVE", "a", None, T0, 2), ("r9", "APPROVE", "a", None, T0, 1),
+         ("r9", "APPROVE", "a", None, T0, 1), ("absent", "REVIEW", "a", None, T0, 1)],
+        "request_id string, decision string, actor string, reason string, ts timestamp, seq long")
+    changes, events, rejects = review.apply_decisions(requests, decisions)
+    assert [(r.request_id, r.status, r.approved_by, r.change_seq, r.last_event_seq) for r in changes.collect()] == [
+        ("r7", "APPROVED", "a", 2, 4)]
+    assert sorted((e.request_id, e.event_seq, e.to_status) for e in events.collect()) == [
+        ("r7", 3, "READY_FOR_REVIEW"), ("r7", 4, "APPROVED")]
+    assert sorted((r.request_id, r.state_before) for r in rejects.collect()) == [
+        ("absent", "NEW"), ("r9", "VALIDATED"), ("r9", "VALIDATED")]
+    for df in (changes, events, rejects):
+        assert "FullOuter" not in df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_transition_check(spark):

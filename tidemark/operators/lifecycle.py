@@ -13,6 +13,7 @@ request relation), so the fold is ``depth`` rounds of
 ``min`` is associative and commutative, so each round is a hash aggregate
 with map-side partial aggregation: a key holding a third of all commands
 costs one partial row per map task, never one task holding the whole group.
+A relation with a cycle has no such bound and is refused (``move_bound``).
 Each round only considers targets that can occur at that step, a constant
 filter Catalyst pushes below the join, and only keys that moved in the
 previous round (a key that did not move cannot move later), so after round 1
@@ -58,6 +59,17 @@ def check_transitions(df: DataFrame, from_col: str = "from_status", to_col: str
         "transition_error", F.when(~legal, invalid_message(F.col(from_col), F.col(to_col))))
 
 
+def move_bound(relation: Mapping[str, Sequence[str]], starts: set[str]) -> int:
+    """Moves a key can make at most from any of ``starts``. A relation with a
+    cycle has no bound: a batch fold would need a job for each move of its
+    busiest key, so it is refused."""
+    depths = [P.relation_depth(relation, s) for s in starts]
+    if any(d is None for d in depths):
+        raise ValueError("the relation has a cycle, so a key's moves have no bound: "
+                         "use the state-store engine of tidemark.streaming.lifecycle_state")
+    return max(depths)
+
+
 def _targets_by_step(relation: Mapping[str, Sequence[str]], start: str, rounds: int) -> list[set[str]]:
     """Targets that can be reached by exactly ``r`` moves, for r = 1..rounds."""
     frontier, out = {start}, []
@@ -90,13 +102,8 @@ def fold_transitions(
     ``moves``: one row per applied command: ``key, step, ts, seq,
     from_status, to_status`` + payload; ``step`` counts from 1 per fold.
     """
-    depth = P.relation_depth(relation, start)
-    if initial is not None or depth is None:
-        # Starting states vary (or the relation has cycles): bound by the
-        # longest path from any state, or iterate to a fixed point.
-        depths = [P.relation_depth(relation, s) for s in set(relation) | {start}]
-        depth = None if any(d is None for d in depths) else max(depths)
-    rounds = depth
+    # with given starting states: the longest path from any state
+    rounds = move_bound(relation, {start} if initial is None else set(relation) | {start})
     payload = [c for c in commands.columns if c not in (key, "ts", "seq", "target")]
 
     cmds = commands.select(F.col(key).alias("key"), "ts", "seq", "target", *payload)
@@ -126,7 +133,7 @@ def fold_transitions(
     terminal = sorted(set([s for s in P.STATES if not relation.get(s)] + [
         t for ts in relation.values() for t in ts if not relation.get(t)]))
     step_targets = (_targets_by_step(relation, start, rounds)
-                    if (initial is None and rounds is not None) else None)
+                    if initial is None else None)
     moves: list[DataFrame] = []
 
     def current() -> DataFrame:
@@ -154,11 +161,7 @@ def fold_transitions(
     # exactly the non-terminal keys the previous round moved: a small table.
     active = None if initial is None else state0.where(~F.col("status").isin(terminal)).select(
         "key", F.col("status").alias("cur"), "last_ts", "last_seq")
-    r = 0
-    while True:
-        r += 1
-        if rounds is not None and r > rounds:
-            break
+    for r in range(1, rounds + 1):
         cand = cmds
         if step_targets is not None:
             cand = cand.where(F.col("target").isin(sorted(step_targets[r - 1])))
@@ -184,8 +187,6 @@ def fold_transitions(
         active = step.where(~F.col("to_status").isin(terminal)).select(
             "key", F.col("to_status").alias("cur"), F.col("ts").alias("last_ts"),
             F.col("seq").alias("last_seq"))
-        if rounds is None and step.limit(1).count() == 0:
-            break
     state = current()
     if moves:
         all_moves = moves[0]
@@ -209,45 +210,31 @@ def command_outcomes(
 ) -> DataFrame:
     """Every command with the state it met and whether it applied.
 
-    Per key the applied moves are few (at most the relation depth for an
-    acyclic relation, a proven bound), so they travel as one row per key with
-    a column per step; each command picks the last move before it. The join
-    of commands with that one-row-per-key table is left to AQE, which splits
-    a hot key's partition. Under a cyclic relation a key's moves have no such
-    bound; use the streaming state operator when keys may cycle without limit.
+    Per key the applied moves are few (at most the relation depth, a proven
+    bound), so they travel as one row per key with a column per step; each
+    command picks the last move before it. The join of commands with that
+    one-row-per-key table is left to AQE, which splits a hot key's partition.
     A command applied if a move has its whole position and target: ``seq``
     alone may repeat at another ``ts``.
     """
     cmd = commands.select(F.col(key).alias("key"), "ts", "seq", "target")
-    bound = P.relation_depth(relation, start)
-    if initial is not None:
-        depths = [P.relation_depth(relation, s) for s in set(relation) | {start}]
-        bound = None if any(d is None for d in depths) else max(depths)
+    bound = move_bound(relation, {start} if initial is None else set(relation) | {start})
     pos = F.struct(F.col("ts"), F.col("seq"))
-    if bound is not None:
-        # at most ``bound`` moves per key, numbered by step at increasing
-        # positions: one column per step, and the state a command met is the
-        # highest step before it (plain CASE expressions, whole-stage codegen)
-        hist = moves.groupBy("key").agg(*[
-            F.max(F.when(F.col("step") == r, F.struct("ts", "seq", "to_status"))).alias(f"_m{r}")
-            for r in range(1, bound + 1)])
-        seen = [F.when(F.col(f"_m{r}").isNotNull()
-                       & (F.struct(F.col(f"_m{r}.ts"), F.col(f"_m{r}.seq")) < pos),
-                       F.col(f"_m{r}.to_status")) for r in range(bound, 0, -1)]
-    else:
-        # cyclic relation: moves per key are bounded by the rounds run; keep
-        # them as one sorted array per key
-        hist = moves.groupBy("key").agg(
-            F.array_sort(F.collect_list(F.struct("ts", "seq", "to_status"))).alias("hist"))
-        before = F.filter(F.coalesce(F.col("hist"), F.array()),
-                          lambda h: F.struct(h["ts"], h["seq"]) < pos)
-        seen = [F.try_element_at(F.transform(before, lambda h: h["to_status"]), F.lit(-1))]
+    # at most ``bound`` moves per key, numbered by step at increasing
+    # positions: one column per step, and the state a command met is the
+    # highest step before it (plain CASE expressions, whole-stage codegen)
+    hist = moves.groupBy("key").agg(*[
+        F.max(F.when(F.col("step") == r, F.struct("ts", "seq", "to_status"))).alias(f"_m{r}")
+        for r in range(1, bound + 1)])
+    seen = [F.when(F.col(f"_m{r}").isNotNull()
+                   & (F.struct(F.col(f"_m{r}.ts"), F.col(f"_m{r}.seq")) < pos),
+                   F.col(f"_m{r}.to_status")) for r in range(bound, 0, -1)]
+    met = cmd.join(hist, "key", "left")
     if initial is not None:
-        hist = hist.join(initial.select(F.col(key).alias("key"), F.col("status").alias("init")),
-                         "key", "full_outer")
+        met = met.join(initial.select(F.col(key).alias("key"), F.col("status").alias("init")), "key", "left")
     else:
-        hist = hist.withColumn("init", F.lit(None).cast("string"))
-    joined = cmd.join(hist, "key", "left").join(
+        met = met.withColumn("init", F.lit(None).cast("string"))
+    joined = met.join(
         moves.select("key", "ts", "seq", F.col("to_status").alias("target"), F.lit(True).alias("applied")),
         ["key", "ts", "seq", "target"], "left")
     state_at = F.coalesce(*seen, F.col("init"), F.lit(start))

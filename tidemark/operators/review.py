@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import lifecycle as L
 from tidemark.operators.audit import event_id_expr
 from tidemark.plans import policy as P
+from tidemark.session import cut_lineage
 
 # Decision verbs and the state each one targets.
 DECISION_TARGETS = {
@@ -39,6 +40,8 @@ def apply_decisions(requests: DataFrame, decisions: DataFrame):
     moved, one event per applied decision (approve carries the actor, reject
     the reason), and every decision that did not apply with its message.
     """
+    # a few decisions must not rewrite or reshuffle the whole request table
+    requests = cut_lineage(requests.join(decisions.select("request_id"), "request_id", "left_semi"), "decided")
     target = F.create_map(*[x for k, v in DECISION_TARGETS.items() for x in (F.lit(k), F.lit(v))])
     cmds = decisions.select(
         F.col("request_id").alias("key"), "ts", "seq",
