@@ -134,6 +134,24 @@ def test_settlement_matches_sequential_loop(spark):
     assert newp.count() == sum(1 for v in got.values() if v in ("REGISTERED", "SUBMISSION_UNKNOWN"))
 
 
+def test_stored_state_follows_the_log_after_settlement(spark):
+    """Over the whole flow the stored requests and the event log agree."""
+    from tests.conftest import SF_SMALL
+    from tidemark.plans.catalog_lifecycle import _Settled
+
+    f = _Settled(spark, SF_SMALL)
+    changes = f.changes.unionByName(f.settled_changes)
+    events = f.events.unionByName(f.sent_events)
+    latest = audit.latest_requests(changes)
+    assert {"REGISTERED", "SUBMISSION_FAILED", "SUBMISSION_UNKNOWN", "APPROVED"} <= {
+        r.status for r in latest.select("status").distinct().collect()}
+    assert audit.state_drift(latest, audit.rebuild_state(events)).count() == 0
+    assert audit.history_gaps(events).count() == 0
+    ends = events.groupBy("request_id").agg({"event_seq": "max"}).toDF("request_id", "n")
+    assert latest.join(ends, "request_id").where("last_event_seq <> n").count() == 0
+    assert latest.where("(status in ('REGISTERED', 'SUBMISSION_UNKNOWN')) <> (submitted_at is not null)").count() == 0
+
+
 def test_reprocessing_registered_reports_approval_first(spark):
     req = spark.createDataFrame([("r", "o", "v", "REGISTERED", 1)],
                                 "request_id string, opportunity_id string, fingerprint string, "

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import clock_column
 
-from tidemark.operators.audit import event_id_expr
+from tidemark.operators.audit import REQUEST_COLUMNS, event_id_expr
 from tidemark.operators.versions import VERSION_KEYS, flag_processed
 from tidemark.plans import policy as P
 
@@ -101,21 +101,68 @@ def classify_answers(raw: DataFrame) -> DataFrame:
     )
 
 
+def contract_answers(outbox: DataFrame) -> DataFrame:
+    """Outbox rows that fail the contract are never sent; their answer is
+    the contract's own refusal, shaped like ``classify_answers`` so that
+    ``settle_submissions`` turns them into SUBMISSION_FAILED."""
+    return outbox.where(~F.col("contract_ok")).select(
+        "request_id", F.lit(False).alias("accepted"), F.lit(None).cast("string").alias("registration_number"),
+        F.col("contract_message").alias("message"), F.lit(False).alias("retryable"))
+
+
+def with_deals(requests: DataFrame, deals: DataFrame) -> DataFrame:
+    """Current requests with the deal version each one is about.
+
+    ``deals`` carry ``request_id`` (see ``audit.with_request_id``), their
+    fingerprint and canonical fields; an equi join on the request id, so a hot
+    opportunity stays spread out. Columns both sides have are the request's.
+    """
+    own = [c for c in deals.columns if c == "request_id" or c not in requests.columns]
+    return requests.join(deals.select(*own), "request_id")
+
+
+def settlement_changes(requests: DataFrame, outcomes: DataFrame, run_clock) -> DataFrame:
+    """One change row per request that a settlement moved.
+
+    ``requests``: the current request rows that were settled. A registered
+    request passed through SUBMITTED, so it takes two event numbers; the
+    submission time is set when the gateway accepted (with or without a
+    number), and an error only when it did not. Requests that were skipped or
+    still wait for an answer get no row.
+    """
+    accepted = F.col("_to").isin(P.REGISTERED, P.SUBMISSION_UNKNOWN)
+    moved = outcomes.where(F.col("outcome").isin(P.SUBMISSION_FAILED, P.REGISTERED, P.SUBMISSION_UNKNOWN)).select(
+        "request_id", F.col("outcome").alias("_to"), F.col("registration_number").alias("_number"),
+        F.col("error").alias("_error"))
+    steps = F.when(F.col("_to") == P.REGISTERED, 2).otherwise(1)
+    return requests.select(*REQUEST_COLUMNS).join(moved, "request_id").select(
+        "request_id", "opportunity_id", F.col("_to").alias("status"), "validation_errors", "approved_by", "approved_at",
+        F.when(accepted, F.col("_number")).otherwise(F.col("registration_number")).alias("registration_number"),
+        F.when(accepted, clock_column(run_clock)).otherwise(F.col("submitted_at")).alias("submitted_at"),
+        F.col("_error").alias("error"), clock_column(run_clock).alias("updated_at"),
+        (F.col("change_seq") + 1).cast("bigint").alias("change_seq"),
+        (F.col("last_event_seq") + steps).cast("bigint").alias("last_event_seq"),
+    )
+
+
 def settle_submissions(requests: DataFrame, answers: DataFrame, processed: DataFrame,
                        run_clock) -> tuple[DataFrame, DataFrame, DataFrame]:
     """P1-P6 for a batch of requests and their (normalised) answers.
 
     ``requests``: ``request_id, opportunity_id, fingerprint, status, seq``
-    and optionally ``last_event_seq``/``change_seq``. ``answers``:
+    and optionally ``last_event_seq``. ``answers``:
     ``request_id, accepted, registration_number, message`` (from
-    ``classify_answers``). Within a version the lowest accepted ``seq`` is the
+    ``classify_answers``, with ``contract_answers`` for rows never sent).
+    Within a version the lowest accepted ``seq`` is the
     one submission; unaccepted rows before it fail, every row after it is
     skipped as unchanged, exactly as a sequential loop would do.
 
-    Returns ``(outcomes, events, processed_rows)``.
+    Returns ``(outcomes, events, processed_rows)``; ``settlement_changes``
+    gives the request change rows of the outcomes.
     """
     if "last_event_seq" not in requests.columns:
         requests = requests.withColumn("last_event_seq", F.lit(0).cast("bigint"))
+    requests = requests.select("request_id", *VERSION_KEYS, "status", "seq", "last_event_seq")
     ans = answers.select("request_id", "accepted", "registration_number", "message",
                          F.lit(True).alias("_answered"))
     df = submission_gate(requests, processed).join(ans, "request_id", "left")

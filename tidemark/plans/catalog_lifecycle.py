@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import audit, lifecycle, review, rules, versions
+from tidemark.operators import audit, lifecycle, review, rules, submission, versions
 from tidemark.plans import policy as P
 from tidemark.plans.catalog import POLICY, register, rules_sql
 from tidemark.plans.sql_text import fingerprint_sql, hash_id_sql
@@ -15,8 +16,9 @@ from tidemark.sources import testdata as T
 
 # ------------------------------------------------------------- lifecycle fold
 
-SQL_EDGES = ", ".join(
-    f"('{s}', '{t}')" for s, ts in T.EVENT_TRANSITIONS.items() for t in ts)
+# The relations are spelled in the oracles on their own.
+SQL_EDGES = """('NEW', 'signup'), ('signup', 'view'), ('signup', 'error'), ('view', 'click'), ('view', 'error'),
+  ('click', 'purchase'), ('click', 'error')"""
 
 SQL_FOLD = f"""
 cmds AS (
@@ -85,6 +87,17 @@ def q_lifecycle_outcomes(spark, sf_dir):
     return out.select("key", "seq", "target", "state_before", "applied", "rejection")
 
 
+@register("lifecycle_outcomes_reused_seq", f"""
+WITH RECURSIVE {SQL_FOLD.replace("event_id AS seq", "event_id % 4 AS seq")}
+SELECT key, ts, seq, target, state_before, applied FROM outcomes""")
+def q_lifecycle_outcomes_reused_seq(spark, sf_dir):
+    """``seq`` orders commands of one time only: it repeats at other times of a key."""
+    cmds = T.lifecycle_commands(spark, sf_dir).withColumn("seq", F.col("seq") % 4)
+    _, moves = lifecycle.fold_transitions(cmds, T.EVENT_TRANSITIONS, start="NEW")
+    out = lifecycle.command_outcomes(cmds, moves, start="NEW", relation=T.EVENT_TRANSITIONS)
+    return out.select("key", "ts", "seq", "target", "state_before", "applied")
+
+
 @register("transition_check", f"""
 WITH RECURSIVE {SQL_FOLD},
 pairs AS (SELECT DISTINCT state_before AS from_status, target AS to_status FROM outcomes)
@@ -266,25 +279,112 @@ def q_rebuild_state(spark, sf_dir):
 
 
 @register("state_drift", f"""
-WITH {SQL_REQS}
+WITH {SQL_REQS},
+stored AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY change_seq DESC) AS place
+    FROM changes WHERE NOT (change_seq = 2 AND CAST(opportunity_id AS BIGINT) % 11 = 0)) WHERE place = 1
+),
+logged AS (SELECT * FROM rebuilt WHERE CAST(opportunity_id AS BIGINT) % 13 <> 0)
 SELECT coalesce(l.request_id, b.request_id) AS request_id, l.status AS stored_status,
        b.status AS rebuilt_status
-FROM latest l FULL OUTER JOIN rebuilt b ON l.request_id = b.request_id
+FROM stored l FULL OUTER JOIN logged b ON l.request_id = b.request_id
 WHERE l.status IS DISTINCT FROM b.status""")
 def q_state_drift(spark, sf_dir):
+    """A store that lost the decisions of some requests, a log that lost others."""
     f = _Flow(spark, sf_dir)
-    return audit.state_drift(audit.latest_requests(f.changes), audit.rebuild_state(f.events))
+    key = F.col("opportunity_id").cast("bigint")
+    stored = f.changes.where(~((F.col("change_seq") == 2) & (key % 11 == 0)))
+    logged = f.events.where(key % 13 != 0)
+    return audit.state_drift(audit.latest_requests(stored), audit.rebuild_state(logged))
 
 
 @register("history_gaps", f"""
-WITH {SQL_REQS}
+WITH {SQL_REQS},
+kept AS (
+  SELECT * FROM all_events
+  WHERE NOT (event_seq = 1 AND CAST(opportunity_id AS BIGINT) % 13 = 0)
+    AND NOT (event_seq = 3 AND CAST(opportunity_id AS BIGINT) % 11 = 0)
+)
 SELECT e.request_id, e.event_seq, e.from_status,
        CASE WHEN e.event_seq = 1 THEN 'NEW' ELSE p.to_status END AS expected_from, e.to_status
-FROM all_events e
-LEFT JOIN all_events p ON p.request_id = e.request_id AND p.event_seq = e.event_seq - 1
+FROM kept e
+LEFT JOIN kept p ON p.request_id = e.request_id AND p.event_seq = e.event_seq - 1
 WHERE e.from_status IS DISTINCT FROM CASE WHEN e.event_seq = 1 THEN 'NEW' ELSE p.to_status END""")
 def q_history_gaps(spark, sf_dir):
-    return audit.history_gaps(_Flow(spark, sf_dir).events)
+    """A log that lost the first event of some requests and the third of others."""
+    key, at = F.col("opportunity_id").cast("bigint"), F.col("event_seq")
+    events = _Flow(spark, sf_dir).events
+    return audit.history_gaps(events.where(~((at == 1) & (key % 13 == 0)) & ~((at == 3) & (key % 11 == 0))))
+
+
+SQL_SETTLED = SQL_REQS + """,
+told AS (
+  SELECT *, CAST(opportunity_id AS BIGINT) AS k,
+         CASE WHEN status <> 'APPROVED' OR CAST(opportunity_id AS BIGINT) % 17 = 1 THEN NULL
+              WHEN CAST(opportunity_id AS BIGINT) % 7 = 0 THEN 503 WHEN CAST(opportunity_id AS BIGINT) % 5 = 0 THEN 400
+              WHEN CAST(opportunity_id AS BIGINT) % 3 = 0 THEN 200 WHEN CAST(opportunity_id AS BIGINT) % 13 = 0 THEN 202
+              ELSE 201 END AS code
+  FROM latest
+),
+settled AS (
+  SELECT request_id, opportunity_id, approved_by, change_seq, last_event_seq, status AS status_before, error AS error_before,
+         CASE WHEN code IN (400, 503) THEN 'SUBMISSION_FAILED' WHEN code = 201 THEN 'REGISTERED'
+              WHEN code IS NOT NULL THEN 'SUBMISSION_UNKNOWN' END AS outcome,
+         CASE WHEN code = 503 THEN 'Downstream registration is retryable'
+              WHEN code = 400 THEN 'Downstream registration rejected: HTTP 400' END AS error,
+         CASE WHEN code = 201 THEN 'REG-' || CAST(k AS VARCHAR) END AS registration_number,
+         CASE WHEN code IN (200, 201, 202) THEN TIMESTAMP '2026-01-01 00:00:00' END AS submitted_at
+  FROM told
+)"""
+SETTLED_OUT = ["request_id", "opportunity_id", "status", "approved_by", "registration_number", "submitted_at", "error",
+               "change_seq", "last_event_seq"]
+
+
+class _Settled(_Flow):
+    """The flow carried on: approved requests with their deals, outbox, answers, settlement."""
+
+    def __init__(self, spark, sf_dir):
+        super().__init__(spark, sf_dir)
+        self.run_clock = dt.datetime(2026, 1, 1)
+        # the stored request table that the submission run reads
+        self.current = cut_lineage(audit.latest_requests(self.changes), "current")
+        requests = submission.with_deals(self.current, self.evaluated).withColumn("seq", F.col("opportunity_id").cast("bigint"))
+        none_yet = self.evaluated.select("opportunity_id", "fingerprint").limit(0)
+        refused = submission.contract_answers(submission.build_outbox(requests, none_yet))
+        answers = submission.classify_answers(T.flow_answers(requests)).join(refused, "request_id", "left_anti")
+        self.outcomes, self.sent_events, self.processed = submission.settle_submissions(
+            requests, answers.unionByName(refused), none_yet, self.run_clock)
+
+    @cached_property
+    def settled_changes(self):
+        return submission.settlement_changes(self.current, self.outcomes, self.run_clock)
+
+
+def _settled_out(df):
+    return df.withColumn("submitted_at", F.col("submitted_at").cast("timestamp_ntz")).select(*SETTLED_OUT)
+
+
+@register("settlement_changes", f"""
+WITH {SQL_SETTLED}
+SELECT request_id, opportunity_id, outcome AS status, approved_by, registration_number, submitted_at, error,
+       change_seq + 1 AS change_seq, last_event_seq + CASE WHEN outcome = 'REGISTERED' THEN 2 ELSE 1 END AS last_event_seq
+FROM settled WHERE outcome IS NOT NULL""")
+def q_settlement_changes(spark, sf_dir):
+    return _settled_out(_Settled(spark, sf_dir).settled_changes)
+
+
+@register("requests_after_settlement", f"""
+WITH {SQL_SETTLED}
+SELECT request_id, opportunity_id, coalesce(outcome, status_before) AS status, approved_by, registration_number,
+       submitted_at, CASE WHEN outcome IS NULL THEN error_before ELSE error END AS error,
+       change_seq + CASE WHEN outcome IS NULL THEN 0 ELSE 1 END AS change_seq,
+       last_event_seq + CASE WHEN outcome IS NULL THEN 0 WHEN outcome = 'REGISTERED' THEN 2 ELSE 1 END AS last_event_seq
+FROM settled""")
+def q_requests_after_settlement(spark, sf_dir):
+    """Evaluate, decide, send, settle, store: the current requests afterwards."""
+    f = _Settled(spark, sf_dir)
+    return _settled_out(audit.latest_requests(f.changes.unionByName(f.settled_changes)))
 
 
 @register("request_history", f"""
@@ -319,9 +419,13 @@ def q_request_conflicts(spark, sf_dir):
 
 # ------------------------------------------------- request relation (depth 6)
 
-SQL_REQ_EDGES = ", ".join(
-    f"('{s}', '{t}')" for s, ts in P.REQUEST_TRANSITIONS.items() for t in ts)
-SQL_REQ_TARGETS = ", ".join(f"'{t}'" for t in T.COMMAND_TARGETS)
+SQL_REQ_EDGES = """('NEW', 'ELIGIBLE'), ('NEW', 'NOT_ELIGIBLE'), ('ELIGIBLE', 'VALIDATED'),
+  ('ELIGIBLE', 'VALIDATION_FAILED'), ('VALIDATED', 'READY_FOR_REVIEW'), ('VALIDATED', 'VALIDATION_FAILED'),
+  ('READY_FOR_REVIEW', 'APPROVED'), ('READY_FOR_REVIEW', 'REJECTED'), ('APPROVED', 'SUBMITTED'),
+  ('APPROVED', 'SUBMISSION_FAILED'), ('APPROVED', 'SUBMISSION_UNKNOWN'), ('SUBMITTED', 'REGISTERED'),
+  ('SUBMITTED', 'SUBMISSION_FAILED'), ('SUBMITTED', 'SUBMISSION_UNKNOWN')"""
+SQL_REQ_TARGETS = """'ELIGIBLE', 'VALIDATED', 'READY_FOR_REVIEW', 'APPROVED', 'SUBMITTED', 'REGISTERED', 'NOT_ELIGIBLE',
+  'VALIDATION_FAILED', 'REJECTED', 'SUBMISSION_FAILED', 'SUBMISSION_UNKNOWN', 'ELIGIBLE'"""
 
 SQL_REQ_FOLD = f"""
 cmds AS (
@@ -380,10 +484,28 @@ def q_request_rejects(spark, sf_dir):
     return out.where(~F.col("applied")).select("key", "seq", "target", "state_before", "rejection")
 
 
-# No SQL oracle: a recursive CTE would need one step per command of the hot
-# key (a third of lineitem). The fold's semantics on hot keys are checked
-# against a sequential replay in tests/test_lifecycle.py.
-@register("skewed_request_lifecycle")
+# one recursive step per move (at most six), not per command: the hot key holds a third of lineitem
+@register("skewed_request_lifecycle", f"""
+WITH RECURSIVE cmds AS (
+  SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'HOT' ELSE CAST(l_orderkey AS VARCHAR) END AS key, l_shipdate AS ts,
+         lpad(CAST(l_orderkey AS VARCHAR), 12, '0') || '-' || lpad(CAST(l_linenumber AS VARCHAR), 3, '0')
+           || '-' || lpad(CAST(l_partkey AS VARCHAR), 12, '0') || '-' || lpad(CAST(l_suppkey AS VARCHAR), 12, '0') AS seq,
+         [{SQL_REQ_TARGETS}][((l_partkey + l_linenumber) % 12) + 1] AS target
+  FROM lineitem
+),
+edges(src, dst) AS (VALUES {SQL_REQ_EDGES}),
+walk(key, moves, state, ts, seq) AS (
+  SELECT DISTINCT key, CAST(0 AS BIGINT), 'NEW', CAST(NULL AS TIMESTAMP), CAST(NULL AS VARCHAR) FROM cmds
+  UNION ALL
+  SELECT key, moves, target, ts, seq FROM (
+    SELECT w.key, w.moves + 1 AS moves, c.target, CAST(c.ts AS TIMESTAMP) AS ts, c.seq,
+           row_number() OVER (PARTITION BY w.key ORDER BY c.ts, c.seq) AS place
+    FROM walk w JOIN cmds c ON c.key = w.key
+    JOIN edges e ON e.src = w.state AND e.dst = c.target
+    WHERE w.ts IS NULL OR c.ts > w.ts OR (c.ts = w.ts AND c.seq > w.seq)) WHERE place = 1
+)
+SELECT key, state AS status, moves, seq AS last_seq
+FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY moves DESC) AS r FROM walk) WHERE r = 1""")
 def q_skewed_request_lifecycle(spark, sf_dir):
     cmds = T.skewed_request_commands(spark, sf_dir)
     state, _ = lifecycle.fold_transitions(cmds, P.REQUEST_TRANSITIONS, start=P.NEW)

@@ -22,7 +22,7 @@ attempts AS (
          sha256(o.o_orderpriority) AS fingerprint,
          CASE WHEN o.o_orderstatus = 'P' THEN 'READY_FOR_REVIEW' ELSE 'APPROVED' END AS status,
          o.o_orderkey AS seq,
-         c.c_name AS customer_name,
+         CASE WHEN o.o_custkey % 17 = 0 THEN '' ELSE c.c_name END AS customer_name,
          c.c_name || ' / ' || o.o_orderpriority AS deal_name,
          n.n_name AS country,
          CAST(o.o_totalprice AS DECIMAL(18,2)) AS deal_amount,
@@ -139,7 +139,7 @@ sendable AS (SELECT * FROM gated WHERE status = 'APPROVED' AND NOT already),
 firsts AS (SELECT opportunity_id, fingerprint, min(seq) AS s FROM sendable GROUP BY ALL)
 SELECT x.request_id, x.opportunity_id, x.fingerprint, x.seq, x.customer_name, x.deal_name,
        x.country, x.deal_amount, x.industry, x.partner_name, x.expected_close_date,
-       true AS contract_ok
+       x.customer_name <> '' AS contract_ok
 FROM sendable x JOIN firsts f
   ON f.opportunity_id = x.opportunity_id AND f.fingerprint = x.fingerprint AND f.s = x.seq""")
 def q_outbox(spark, sf_dir):
@@ -148,6 +148,21 @@ def q_outbox(spark, sf_dir):
         "contract_message")
 
 
+@register("contract_failures", f"""
+WITH {SQL_ATTEMPTS},
+sendable AS (SELECT * FROM gated WHERE status = 'APPROVED' AND NOT already),
+firsts AS (SELECT opportunity_id, fingerprint, min(seq) AS s FROM sendable GROUP BY ALL)
+SELECT x.request_id, 'SUBMISSION_FAILED' AS outcome, 'Draft contract requires customer_name and deal_name' AS error
+FROM sendable x JOIN firsts f
+  ON f.opportunity_id = x.opportunity_id AND f.fingerprint = x.fingerprint AND f.s = x.seq
+WHERE x.customer_name = ''""")
+def q_contract_failures(spark, sf_dir):
+    requests, processed = T.attempts(spark, sf_dir), T.previous_submissions(spark, sf_dir)
+    refused = S.contract_answers(S.build_outbox(requests, processed))
+    outcomes, _, _ = S.settle_submissions(requests, refused, processed, RUN_CLOCK)
+    return outcomes.where(F.col("outcome") == "SUBMISSION_FAILED").select("request_id", "outcome", "error")
+
+
 @register("classify_answers", f"""
 WITH {SQL_ATTEMPTS}
 SELECT request_id, accepted, registration_number, message, retryable FROM classified""")

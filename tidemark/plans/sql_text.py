@@ -27,7 +27,13 @@ def hash_id_sql(exprs: Sequence[str]) -> str:
     return uuid_layout_sql(f"sha256({canonical_text_sql(exprs)})")
 
 
-def fingerprint_sql(prefix: str = "") -> str:
-    from tidemark.plans.policy import FINGERPRINT_COLUMNS
+# The business fields of a version, spelled here for the oracles
+# alone, so that a change of the operators' own list shows as a mismatch.
+VERSION_FIELDS = (
+    "account_name", "amount", "close_date", "country", "industry", "opportunity_id",
+    "opportunity_name", "partner", "registration_required", "registration_status",
+)
+
 
-    return f"sha256({canonical_text_sql([prefix + c for c in sorted(FINGERPRINT_COLUMNS)])})"
+def fingerprint_sql(prefix: str = "") -> str:
+    return f"sha256({canonical_text_sql([prefix + c for c in VERSION_FIELDS])})"
