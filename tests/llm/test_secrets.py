@@ -51,6 +51,21 @@ def test_battery_finds_random_tokens_and_leaves_text(spark):
     assert not [i for i in hits if i >= len(planted)]
 
 
+def test_battery_finds_one_random_token_in_a_hundred(spark):
+    rng = random.Random(9)
+    small, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alphabets = {"base32": small.upper() + "234567", "base36": small + digits, "upper-hex": digits + "ABCDEF", "small": small, "capital": small.upper(), "letters": small + small.upper()}
+    planted = [(kind, "".join(rng.choices(letters, k=48))) for kind, letters in alphabets.items() for _ in range(20)]
+    words = "the record of every partner request is written once and read again when payload changes are settled by review before submission section part version".split()
+    joins = ["_".join, "/".join, "-".join, "".join, lambda w: "".join(w).upper(), lambda w: "".join(map(str.title, w)), lambda w: "".join(x + str(rng.randint(1, 2030)) for x in w)]
+    clean = [("text", rng.choice(joins)(rng.choices(words, k=rng.randint(7, 9)))) for _ in range(99 * len(planted))]
+    rows = planted + clean
+    got = S.scan(docs(spark, [f"see {t} there" for _, t in rows])).collect()
+    hits = [rows[r.doc_id][0] for r in got if r.n_random]
+    assert all(hits.count(kind) >= 15 for kind in alphabets), hits
+    assert hits.count("text") <= 0.01 * len(hits)
+
+
 def test_redact_masks_whole_spans_and_keeps_other_columns(spark):
     got = S.redact(docs(spark, ["a password=hunter2hunter2 b", None, "", "é token=abcdefgh secret=abcdefgh", "clean", "secret=" + "a1" * 20])).collect()
     assert [r.text for r in got] == ["a [SECRET] b", None, "", "é [SECRET] [SECRET]", "clean", "[SECRET]"]
