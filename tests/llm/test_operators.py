@@ -80,6 +80,20 @@ def test_topk_against_all_scores(spark):
     assert nra_topk.top_k(rows.limit(0), F.col("id") % 20 == 0).collect() == []
 
 
+def test_topk_keeps_rows_that_share_an_id(spark):
+    rng = np.random.default_rng(4)
+    vecs = [(i % 60, [float(x) for x in rng.normal(size=5).round(2)]) for i in range(150)]
+    rows = spark.createDataFrame([*vecs, vecs[0], vecs[7]], "vec_id long, embedding array<float>")
+    got = nra_topk.top_k(rows, F.col("id") % 20 == 0, block=32, query_block=4)
+    whole = [(i, np.floor(1024 * np.array(v, np.float32).astype(float)).astype(np.int64)) for i, v in vecs]
+    want = Counter()
+    for n, (i, v) in enumerate(whole):
+        if i % 20 == 0:
+            best = sorted((-int(v @ w), j) for m, (j, w) in enumerate(whole) if m != n)[:10]
+            want.update((i, r + 1, j, -s) for r, (s, j) in enumerate(best))
+    assert Counter(tuple(r) for r in got.collect()) == want
+
+
 def test_reply_trees(spark):
     nodes = [("t", 1, None, "user", "hi </s>", 0.0), ("t", 2, 1, "assistant", "[INST] \\ a\\l", 1.0), ("t", 3, 1, "assistant", "b", 3.0), ("t", 4, 2, "user", None, 9.0),
              ("u", 1, 9, None, "orphan", None), ("c", 1, 2, "user", "circle", 0.0), ("c", 2, 1, "user", "circle", 0.0)]

@@ -1,7 +1,7 @@
 """Exact top-k inner products by no-random-access aggregation.
 
 Vectors become whole numbers, ``floor(scale * x)`` per component. Candidates
-are cut by hash of their id into blocks, queries into blocks of their own, and
+are cut by hash of their row into blocks, queries into blocks of their own, and
 every query block meets every candidate block once (a stated query set against
 all rows, in blocks). A block keeps one sorted list per component. The lists
 are read in step, a stretch at a time, from the large end for a query's
@@ -27,9 +27,11 @@ rows, as an exact answer with weak bounds needs.
 
 Defined cases: rows take no part if the id or the vector is null or a
 component is null or not finite; a shorter vector's missing components count
-0; rows that repeat an id count once, with the least vector; fewer than k
-candidates: all are returned; ties go to the smaller id; scores are exact
-while they and their bounds stay within 2**53; other columns are ignored.
+0; rows equal in id and vector count once; rows that repeat an id with another
+vector each stand for themselves, as candidates and as queries (with ranks of
+their own), and a query leaves out its own row only; fewer than k candidates:
+all are returned; ties go to the smaller id; scores are exact while they and
+their bounds stay within 2**53; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -51,20 +53,21 @@ STRETCH = 64  # entries read from each list at first; doubles
 
 
 def whole_vectors(rows: DataFrame, *, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """(id, v) of the rows that take part, one per id."""
+    """(row, id, v) of the rows that take part, one per id and vector; ``row`` tells them apart."""
     vec = F.col(vec_col)
     fit = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    v = F.transform(vec, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
     out = rows.where(F.col(id_col).isNotNull() & vec.isNotNull() & F.coalesce(fit, F.lit(False)))
-    return out.select(F.col(id_col).cast("long").alias("id"), v.cast("array<bigint>").alias("v")).groupBy("id").agg(F.min("v").alias("v"))
+    out = out.select(F.col(id_col).cast("long").alias("id"), vec.alias("vec")).distinct()
+    v = F.transform("vec", lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
+    return out.select(F.monotonically_increasing_id().alias("row"), "id", v.cast("array<bigint>").alias("v"))
 
 
 class Block:
     """Candidates with one sorted list per component."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray):
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, x: np.ndarray):
         order = np.argsort(ids, kind="stable")
-        self.ids, self.x = ids[order], x[order]
+        self.rows, self.ids, self.x = rows[order], ids[order], x[order]
         self.rank = np.argsort(np.argsort(self.x, axis=0, kind="stable"), axis=0, kind="stable")  # place in the component's ascending list
         self.sorted = np.sort(self.x, axis=0).astype(float)
 
@@ -79,12 +82,13 @@ class Block:
         best = [np.where(down, self.x, self.sorted[n - 1 - after]), np.where(up, self.x, self.sorted[after])]
         return np.concatenate(worst, axis=1), np.concatenate(best, axis=1)
 
-    def top(self, q_ids: np.ndarray, q: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """(places, scores) of the k best for each row of ``q``, without the row of the query's own id."""
+    def top(self, q_rows: np.ndarray, q: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(places, scores) of the k best for each row of ``q``, without the query's own row."""
         n = len(self.ids)
         weights = np.concatenate([np.maximum(q, 0), np.minimum(q, 0)], axis=1).astype(float)
-        own = np.searchsorted(self.ids, q_ids)
-        own = np.where(self.ids[np.minimum(own, n - 1)] == q_ids, own, -1)
+        by_row = np.argsort(self.rows)
+        own = by_row[np.minimum(np.searchsorted(self.rows, q_rows, sorter=by_row), n - 1)]
+        own = np.where(self.rows[own] == q_rows, own, -1)
         found: list = [None] * len(q)
         reading, at, stretch = np.arange(len(q)), 0, STRETCH
         while len(reading):
@@ -128,28 +132,28 @@ def top_k(rows: DataFrame, queries: Column, *, k: int = K, block: int = BLOCK, q
     blocks, query_blocks = max(1, -(-n // block)), max(1, -(-n_queries // query_block))
 
     def place(salt: str, m: int) -> Column:
-        return F.pmod(F.xxhash64(F.lit(salt), F.col("id")), F.lit(m)).cast("int")
+        return F.pmod(F.xxhash64(F.lit(salt), F.col("row")), F.lit(m)).cast("int")
 
     def every(m: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
 
-    left = asked.select("id", "v", place("q", query_blocks).alias("qb"), every(blocks).alias("cb"))
-    right = all_rows.select("id", "v", every(query_blocks).alias("qb"), place("c", blocks).alias("cb"))
+    left = asked.select("row", "id", "v", place("q", query_blocks).alias("qb"), every(blocks).alias("cb"))
+    right = all_rows.select("row", "id", "v", every(query_blocks).alias("qb"), place("c", blocks).alias("cb"))
 
     def pair(qs: pa.Table, cs: pa.Table) -> pa.Table:
         qs, cs = qs.combine_chunks(), cs.combine_chunks()
         out: list[tuple] = []
         if qs.num_rows and cs.num_rows:
-            cols = [t.column(c).combine_chunks() for t in (qs, cs) for c in ("id", "v")]
-            width = max(int(np.diff(c.offsets.to_numpy()).max()) for c in cols[1::2])
-            q_ids, q = cols[0].to_numpy(), _matrix(cols[1], width)
-            cands = Block(cols[2].to_numpy(), _matrix(cols[3], width))
-            for i, (places, scores) in zip(q_ids.tolist(), cands.top(q_ids, q, k), strict=True):
-                out += zip([i] * len(places), cands.ids[places].tolist(), scores.tolist(), strict=True)
-        a, b, c = zip(*out, strict=True) if out else ((), (), ())
-        return pa.table({"query_id": pa.array(a, pa.int64()), "id": pa.array(b, pa.int64()), "score": pa.array(c, pa.int64())})
-
-    found = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(pair, "query_id long, id long, score long")
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
+            cols = [t.column(c).combine_chunks() for t in (qs, cs) for c in ("row", "id", "v")]
+            width = max(int(np.diff(c.offsets.to_numpy()).max()) for c in cols[2::3])
+            q_rows, q = cols[0].to_numpy(), _matrix(cols[2], width)
+            cands = Block(cols[3].to_numpy(), cols[4].to_numpy(), _matrix(cols[5], width))
+            for row, i, (places, scores) in zip(q_rows.tolist(), cols[1].to_pylist(), cands.top(q_rows, q, k), strict=True):
+                out += zip([row] * len(places), [i] * len(places), cands.ids[places].tolist(), scores.tolist(), strict=True)
+        columns = zip(*out, strict=True) if out else ((),) * 4
+        return pa.table({name: pa.array(c, pa.int64()) for name, c in zip(("query_row", "query_id", "id", "score"), columns, strict=True)})
+
+    found = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(pair, "query_row long, query_id long, id long, score long")
+    order = W.partitionBy("query_row").orderBy(F.desc("score"), F.asc("id"))
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")
