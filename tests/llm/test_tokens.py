@@ -58,6 +58,25 @@ def test_codec(docs, bound):
         assert r.decoded == tok.decode(ids, skip_special_tokens=False)
 
 
+def test_broadcast_words_are_bounded_by_bytes(spark):
+    path = tokenizer_path("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    texts = [f"{'ab' * 3000} common words {'日本' * 500}", "common words stand here", "here common " + "xy" * 400, "once " + "xy" * 400] * 2
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table = word_table_bpe.word_table(rows, path)
+    whole = {r.word: len(r.word.encode()) + len(r.ids) for r in table.collect()}
+    assert max(whole.values()) > word_table_bpe.LONG_WORD
+    for most in (word_table_bpe.BROADCAST_BYTES, 100, 30):
+        top, others = (part.collect() for part in word_table_bpe.frequent(table, 1_500_000, most))
+        assert sorted(r.word for r in top + others) == sorted(whole)
+        assert sum(whole[r.word] for r in top) <= most and all(whole[r.word] <= word_table_bpe.LONG_WORD for r in top)
+        assert most < 100 or "common" in {r.word for r in top}
+        got = word_table_bpe.encode(rows, path, broadcast_bytes=most).collect()
+        assert sorted(r.doc_id for r in got) == list(range(len(texts)))
+        for r in got:
+            assert np.frombuffer(r.ids, "<u4").tolist() == tok.encode(texts[r.doc_id], add_special_tokens=False).ids
+
+
 def test_codec_empty(docs):
     path = tokenizer_path("word_bpe_49k.json")
     assert word_table_bpe.encode(docs.limit(0), path).collect() == []

@@ -7,17 +7,19 @@
    occur more than once in the table's own job, a word that occurs once in the
    whole corpus where it stands.
 3. Ids go back to the documents by position: the most frequent words, at most
-   ``broadcast_words`` of them, are broadcast (a proven bound); beyond that
-   bound, a document with a word that is not among them takes its words from
-   the table by an equi join on the word, grouped by its text. While the bound
-   holds every repeated word, that join has nothing to add and is not run.
+   ``broadcast_words`` of them and at most ``broadcast_bytes`` of words and
+   ids, none of them over ``LONG_WORD`` bytes, are broadcast (proven bounds: a
+   word has no greatest length); a document with another word of the table
+   takes its words from it by an equi join on the word, grouped by its text.
+   While the bounds hold every repeated word, that join has nothing to add and
+   is not run.
 4. Ids are decoded by a join, by position, with the id-to-piece table, which
    the vocabulary bounds.
 
 Scale: what is shuffled is distinct words per task, and beyond the bound the
-texts with a rare word, once. The broadcast does not grow with the corpus. The
-number of words at each power of two of the count comes to the driver (at most
-64 rows).
+texts with a rare or long word, once. The broadcast does not grow with the
+corpus. The number and bytes of words at each power of two of the count come
+to the driver (at most 64 rows).
 
 Special strings inside texts are their own ids, as the library's default has
 it. Splitting is exact: a text with a code point that the two regex engines
@@ -48,6 +50,8 @@ from tidemark.llm.common import written
 from tidemark.llm.token_counts import ClassProof, byte_of_char, load
 
 BROADCAST_WORDS = 1_500_000
+BROADCAST_BYTES = 96 << 20  # of words and their ids
+LONG_WORD = 1024  # bytes of a word and its ids
 FLUSH_WORDS = 200_000  # a task gives its distinct words whenever it has so many
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PROBES = (("x", r"\p{L}"), ("?", r"[^\s\p{L}\p{N}]"), ("", r"\S"))
@@ -148,17 +152,21 @@ def word_table(docs: DataFrame, path: str) -> DataFrame:
     return written(repeated.mapInArrow(encoded, "word string, n long, ids binary"), "word-table")
 
 
-def frequent(table: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+def frequent(table: DataFrame, most: int, most_bytes: int = BROADCAST_BYTES, longest: int = LONG_WORD) -> tuple[DataFrame, DataFrame]:
     """The words of the highest counts, cut at a power of two so that at most
-    ``most`` are left, and the others."""
+    ``most`` of them and ``most_bytes`` are left, none over ``longest`` bytes,
+    and the others."""
     power = F.floor(F.log2("n")).cast("int")
-    left, least = 0, 64
-    for r in table.groupBy(power.alias("p")).count().orderBy(F.desc("p")).collect():
-        left += r["count"]
-        if left > most:
+    size = F.octet_length("word") + F.octet_length("ids")
+    counts = table.where(size <= longest).groupBy(power.alias("p")).agg(F.count(F.lit(1)).alias("words"), F.sum(size).alias("bytes"))
+    words, held, least = 0, 0, 64
+    for r in counts.orderBy(F.desc("p")).collect():
+        words, held = words + r.words, held + r.bytes
+        if words > most or held > most_bytes:
             break
         least = r.p
-    return table.where(power >= least), table.where(power < least)
+    top = (power >= least) & (size <= longest)
+    return table.where(top), table.where(~top)
 
 
 def _batches(rows: Iterator[tuple], names: list[str], kinds: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
@@ -217,11 +225,11 @@ def _known(dictionary) -> WordIds:
     return _KNOWN[dictionary.value["key"]]
 
 
-def encode(docs: DataFrame, path: str, *, broadcast_words: int = BROADCAST_WORDS, id_col: str = "doc_id") -> DataFrame:
+def encode(docs: DataFrame, path: str, *, broadcast_words: int = BROADCAST_WORDS, broadcast_bytes: int = BROADCAST_BYTES, id_col: str = "doc_id") -> DataFrame:
     """(id, ids) of every document; ids as little-endian unsigned 32-bit numbers."""
     spark = docs.sparkSession
-    top, others = frequent(word_table(docs, path), broadcast_words)
-    hashed = top.select(F.xxhash64("word").alias("h"), "word", "ids").toArrow()  # at most broadcast_words rows
+    top, others = frequent(word_table(docs, path), broadcast_words, broadcast_bytes)
+    hashed = top.select(F.xxhash64("word").alias("h"), "word", "ids").toArrow()  # at most broadcast_words rows and broadcast_bytes, without the hashes
     dictionary = spark.sparkContext.broadcast({"key": uuid.uuid4().int, "words": hashed.sort_by("h").combine_chunks()})
     complete = others.isEmpty()
     rows = docs.select(F.col(id_col).alias("id"), F.col("text").cast("string").alias("text"))
