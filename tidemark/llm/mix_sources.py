@@ -15,6 +15,12 @@ source in which its budget ends is sorted by row. The window over ranges has
 one row per range, that over rows only the rows of one range per source, so a
 source with a third of all rows is never in one task.
 
+Bound on sources: targets need all sources in one order, and the windows of
+``source_targets`` have no partition key, so one task sorts one narrow row per
+source. That suits sources as named collections, up to about a million (an
+estimate, not measured); no row is lost beyond it. A source per host or
+per page is no use for this operator: group such sources first.
+
 Targets: sources are ranked by code point, null last, and take the weights in
 turn; they share ``share`` times all sizes. A target stops at ``cap`` times its
 source's size and the excess is reshared by weight until none is above, which
