@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     chat_trees,
+    four_russians,
     mix_sources,
     nra_topk,
+    overlap_search,
     quality_gbt,
     secret_battery,
     simhash_tiles,
     suffix_buckets,
     token_counts,
+    token_spans,
     url_filter,
     word_table_bpe,
 )
@@ -256,3 +259,62 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_secret_scan")
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_battery.scan(table(spark, sf_dir, "documents"))
+
+
+# --- 11: hard negatives -----------------------------------------------------
+
+
+@register("op11_hard_negatives", r"""
+WITH whole AS (
+  SELECT row_number() OVER () AS rn, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256.0::DOUBLE * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.rn AS anchor, a.vec_id AS anchor_id, c.rn AS other, c.vec_id AS other_id, a.label = c.label AS same,
+    CAST(coalesce(list_sum(list_transform(list_zip(a.v, c.v), lambda p: coalesce(p[1] * p[2], 0))), 0) AS BIGINT) AS score
+  FROM whole a JOIN whole c ON a.rn <> c.rn
+  WHERE a.vec_id % 50 = 0
+),
+positives AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other_id NULLS LAST, other) AS place
+  FROM scored WHERE same QUALIFY place <= 5
+),
+negatives AS (
+  SELECT p.anchor_id, p.other_id AS positive_id, n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor, p.place ORDER BY n.score DESC, n.other_id NULLS LAST) AS place
+  FROM positives p JOIN scored n
+    ON p.anchor = n.anchor AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM negatives WHERE place <= 3""")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return four_russians.hard_negatives(rows.withColumn("label", moved), F.col("id") % 50 == 0)
+
+
+# --- 12: n-gram Jaccard join --------------------------------------------------
+
+
+@register("op12_jaccard_join")
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap_search.overlap_classes(table(spark, sf_dir, "documents"), shingle=5, percent=80)
+
+
+# --- 13: tokenizer alignment --------------------------------------------------
+
+
+def span_digests(docs: DataFrame, *, most: int = token_spans.BROADCAST_PAIRS) -> DataFrame:
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    aligned = token_spans.align(docs, *paths)
+    told = aligned.withColumn("groups_sha256", F.coalesce(F.sha2("groups", 256), F.lit(""))).drop("groups")
+    return token_spans.link_counts(told, *paths, most=most).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@register("op13_token_spans")
+def op13_token_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digests(table(spark, sf_dir, "documents"))
