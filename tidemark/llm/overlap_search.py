@@ -39,6 +39,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import uuid
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -52,16 +53,16 @@ from xxhash import xxh3_128_digest, xxh64_intdigest
 
 from tidemark.llm.common import written
 from tidemark.llm.components import components
-from tidemark.session import bounded_broadcast
+from tidemark.session import bounded_broadcast, lineage_root
 
 SHINGLE = 5
 PERCENT = 80
 SEED = 42
 WORDS = 400_000  # word hashes that a worker keeps
 BYTES_PER_BATCH = 8 << 20
-FLUSH = 1_500_000  # least hashes packed together
-RANGE = 2_000_000  # hashes that meet in one range
-SHARD = 1_000_000  # shingles of a shard's records, about
+FLUSH = 1_000_000  # least hashes packed together
+RANGE = 1_000_000  # hashes that meet in one range
+SHARD = 250_000  # shingles of a shard's records, about
 SMALL = 1_000_000  # survivors up to here are broadcast as row numbers
 MU = 0.01  # weight of a binary probe against a heap step
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -157,7 +158,8 @@ def shared_counts(sets: DataFrame, total: int) -> DataFrame:
             h, owner = h[first], np.where(many, none, owner[first])
             where = (h >> np.uint64(64 - bits)).astype(np.int64)
             edges = np.searchsorted(where, np.arange((1 << bits) + 1))
-            out: list[tuple] = [(-1, b"", b"", b"", digests.tobytes(), met.astype(np.int64).tobytes())]
+            # the flush's own counts go along to any range
+            out: list[tuple] = [(int(where[0]), b"", b"", b"", digests.tobytes(), met.astype(np.int64).tobytes())]
             low = ((h << np.uint64(bits)) >> np.uint64(32)).astype("<u4")
             for r, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
                 if a < b:
@@ -182,36 +184,32 @@ def shared_counts(sets: DataFrame, total: int) -> DataFrame:
             yield from rows(held)
 
     def met(t: pa.Table) -> pa.Table:
-        hs, ds = [], []
-        for hashes, owners, digests in zip(*(t.column(c).to_pylist() for c in ("hashes", "owners", "digests")), strict=True):
-            owner, own = np.frombuffer(owners, "<i4"), np.frombuffer(digests, np.int64)
+        hs, ds, told = [np.zeros(0, "<u4")], [(np.zeros(0, np.int64), np.zeros(0, bool))], [(np.zeros(0, np.int64),) * 2]
+        for hashes, owners, digests, own, shared in zip(*(t.column(c).to_pylist() for c in t.column_names[1:]), strict=True):
+            if own:
+                told.append((np.frombuffer(own, np.int64), np.frombuffer(shared, np.int64)))
+                continue
+            owner, digest = np.frombuffer(owners, "<i4"), np.frombuffer(digests, np.int64)
             hs.append(np.frombuffer(hashes, "<u4"))
-            ds.append((np.where(owner == none, 0, own[owner]), owner == none))
+            ds.append((np.where(owner == none, 0, digest[owner]), owner == none))
         h, d, many = np.concatenate(hs), np.concatenate([x for x, _ in ds]), np.concatenate([x for _, x in ds])
         order = np.lexsort((d, many, h))
         h, d, many = h[order], d[order], many[order]
         # a copy of a set in another flush is the same set
-        fresh = np.concatenate([[True], (h[1:] != h[:-1]) | (d[1:] != d[:-1]) | (many[1:] != many[:-1])])
+        fresh = np.ones(len(h), bool)
+        fresh[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1]) | (many[1:] != many[:-1])
         h, d, many = h[fresh], d[fresh], many[fresh]
-        group = np.cumsum(np.concatenate([[0], h[1:] != h[:-1]]))
+        group = np.cumsum(np.concatenate([[False], h[1:] != h[:-1]]))[: len(h)]
         weight = np.bincount(group, np.where(many, 2, 1))
         found, n = np.unique(d[~many & (weight[group] > 1)], return_counts=True)
-        return pa.table({"d1": pa.array(found, pa.int64()), "shared": pa.array(n, pa.int64())})
+        own, within = (np.concatenate(x) for x in zip(*told, strict=True))
+        return pa.table({"d1": np.concatenate([found, own]), "across": np.concatenate([n, 0 * own]), "within": np.concatenate([0 * found, within])})
 
-    def locally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for own, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x, np.int64)) for x in (own, n)], ["d1", "shared"])
-
-    sent = written(
-        sets.where("n > 0").select("d1", "least").mapInArrow(packed, "range long, hashes binary, owners binary, digests binary, own binary, shared binary"),
-        "overlap-packed",
-    )
-    across = sent.where("range >= 0").select("range", "hashes", "owners", "digests").groupBy("range").applyInArrow(met, "d1 long, shared long")
-    within = sent.where("range < 0").select("own", "shared").mapInArrow(locally, "d1 long, shared long")
+    kinds = "range long, hashes binary, owners binary, digests binary, own binary, shared binary"
+    sent = sets.where("n > 0").select("d1", "least").mapInArrow(packed, kinds)
+    counts = sent.groupBy("range").applyInArrow(met, "d1 long, across long, within long")
     # a set may stand in several flushes: what it shares within one is counted once
-    within = within.groupBy("d1").agg(F.max("shared").alias("shared"))
-    return across.unionByName(within).groupBy("d1").agg(F.sum("shared").alias("shared"))
+    return counts.groupBy("d1").agg((F.sum("across") + F.max("within")).alias("shared"))
 
 
 class Index:
@@ -343,9 +341,17 @@ def links(survivors: DataFrame, *, percent: int, shard: int = SHARD) -> DataFram
     return queries.groupBy("to", "piece").cogroup(index.groupBy("to", "piece")).applyInArrow(found, "u long, v long")
 
 
+def _stored(sets: DataFrame) -> DataFrame:
+    """Written once in the shared folder, the texts packed tighter than by default."""
+    spark = sets.sparkSession
+    path = f"{lineage_root(spark)}/overlap-sets-{uuid.uuid4().hex}"
+    sets.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(sets.schema).parquet(path)
+
+
 def overlap_classes(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT, shard: int = SHARD, id_col: str = "doc_id") -> DataFrame:
     """(id, n_shingles, component_id) of every document."""
-    sets = written(shingled(docs, shingle=shingle, percent=percent, id_col=id_col), "overlap-sets")
+    sets = _stored(shingled(docs, shingle=shingle, percent=percent, id_col=id_col))
     full = sets.where("n > 0")
     # one record per set: the first of its rows stands for all
     records = written(full.groupBy("d1", "d2").agg(F.first("n").alias("n"), F.min("id").alias("low"), F.min("row").alias("row")), "overlap-records")
