@@ -7,8 +7,8 @@ Tokenizer A (tokenizers, byte-level) encodes a space and the text; tokenizer B
    are no white space. A's pattern starts a new piece there and B's vocabulary
    has no piece that goes on past a space (both are proved from the files; else
    a text is one unit), so the tokens of a unit do not depend on the rest, and
-   both tokenizers have a token end at its end. A worker aligns each unit once
-   and keeps the newest few hundred thousand.
+   both tokenizers have a token end at its end. A worker aligns a unit once and
+   keeps a few hundred thousand, those it met more than once longest.
 2. Spans. A's character offsets and the spans of B's proto give coarse ends in
    bytes. A unit with a span that does not hold exactly its token's bytes (a
    character over several tokens, byte fallback) is refined by the lengths of
@@ -37,6 +37,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -136,13 +137,15 @@ class Pair:
         chars = np.cumsum([0, *map(len, units)])
         starts = byte_of[chars]
         a = self.a.encode(text, add_special_tokens=False)
-        spans = np.fromiter(chain.from_iterable(a.offsets), np.int64, 2 * len(a.ids)).reshape(-1, 2)
-        unit = np.searchsorted(chars, spans[:, 0], side="right") - 1
-        coded_a = Coded(np.array(a.ids, np.int64), byte_of[spans[:, 1]], unit, self.bytes_a, self.size_a, raw, starts)
+        ids = np.array(a.ids, np.int64)
+        stops = np.fromiter(map(itemgetter(1), a.offsets), np.int64, len(ids))
+        coded_a = Coded(ids, byte_of[stops], np.searchsorted(chars, stops) - 1, self.bytes_a, self.size_a, raw, starts)
         pieces = self.b.encode(text[1:], return_type="proto").pieces
-        spans = np.array([(p.id, p.begin, p.end) for p in pieces], np.int64).reshape(-1, 3) + (0, 1, 1)  # B adds the first space itself
-        unit = np.searchsorted(starts, np.minimum(spans[:, 1], len(raw) - 1), side="right") - 1
-        return coded_a, Coded(spans[:, 0], spans[:, 2], unit, self.bytes_b, self.size_b, raw, starts)
+        spans = np.fromiter(chain.from_iterable((p.id, p.end) for p in pieces), np.int64, 2 * len(pieces)).reshape(-1, 2)
+        # B adds the first space itself; the first pieces of a character's bytes end where it begins
+        stops, begins = spans[:, 1] + 1, np.concatenate([[0], spans[:, 1] + 1])[:-1]
+        unit = np.searchsorted(starts, np.minimum(begins, len(raw) - 1), side="right") - 1
+        return coded_a, Coded(spans[:, 0], stops, unit, self.bytes_b, self.size_b, raw, starts)
 
 
 def aligned_units(pair: Pair, units: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
@@ -180,9 +183,27 @@ class Units(dict):
     def drop(self) -> None:
         self.clear()
         self.groups: list[str] = []
-        self.counts, self.keys = np.zeros((0, 5), np.int64), np.zeros(0, np.int64)
+        self.counts, self.keys, self.starts = np.zeros((0, 5), np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
+        self.used = np.zeros(0, np.int64)
         self.size = 0
 
+    def age(self) -> None:
+        """Keeps the units that were met again since the last time, at most half of the room."""
+        if self.size > UNIT_BYTES:
+            return self.drop()
+        often = np.flatnonzero(self.used > 1)
+        if len(often) > UNITS // 2:
+            often = np.sort(np.argsort(-self.used, kind="stable")[: UNITS // 2])
+        texts, groups, n = list(self), self.groups, self.counts[often, 3]
+        counts, keys = self.counts[often], self.keys[np.repeat(self.starts[often] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        self.drop()
+        for new, old in enumerate(often.tolist()):  # units stand in the order of their numbers
+            self[texts[old]] = new
+            self.groups.append(groups[old])
+            self.size += len(texts[old]) + len(groups[old])
+        self.counts, self.keys, self.used = counts, keys, np.zeros(len(often), np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(n)])
+
     def add(self, units: list[str]) -> None:
         # units that end or go on in white space stay alone, as do those with B's own sign for it
         clean = ["▁" not in u and bool(SOUND.match(u)) for u in units] if self.pair.units else [False] * len(units)
@@ -199,12 +220,14 @@ class Units(dict):
     def numbers(self, texts: list[str]) -> list[np.ndarray]:
         """The numbers of the units of each text."""
         if len(self) > UNITS or self.size > UNIT_BYTES:
-            self.drop()
+            self.age()
         cut = [self.pair.cut(t) for t in texts]
         new = set(chain.from_iterable(cut)).difference(self)
         if new:
             self.add(sorted(new))
-        return [np.fromiter(map(self.__getitem__, units), np.int64, len(units)) for units in cut]
+        numbers = [np.fromiter(map(self.__getitem__, units), np.int64, len(units)) for units in cut]
+        self.used = np.bincount(np.concatenate(numbers), minlength=len(self.groups)) + np.append(self.used, np.zeros(len(self.groups) - len(self.used), np.int64))
+        return numbers
 
 
 _UNITS: dict[tuple[str, str], Units] = {}  # one per worker and pair of files
