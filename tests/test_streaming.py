@@ -103,16 +103,19 @@ def test_failed_batch_is_replayed_exactly_once(spark, tmp_dir, monkeypatch):
     root, ck = os.path.join(tmp_dir, "sinks"), os.path.join(tmp_dir, "ck")
     real_write = incremental._write_batch
 
-    def failing_write(frame, path, batch_id):
-        real_write(frame, path, batch_id)
+    def failing_write(frame, path, run, batch_id):
+        real_write(frame, path, run, batch_id)
         if batch_id == 1 and path.endswith("request_changes"):
             raise RuntimeError("executor lost while writing batch 1")
 
     monkeypatch.setattr(incremental, "_write_batch", failing_write)
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="executor lost while writing batch 1"):
         incremental.run_incremental(spark, src, sinks_root=root, checkpoint=ck, policy=POLICY,
                                     schema=df.schema)
     monkeypatch.setattr(incremental, "_write_batch", real_write)
+    half = spark.read.parquet(os.path.join(root, "request_changes")).where("batch_id = 1")
+    assert not half.isEmpty()  # written, but its processed versions were not
+    assert spark.read.parquet(os.path.join(root, "processed")).where("batch_id = 1").isEmpty()
     sinks = incremental.run_incremental(spark, src, sinks_root=root, checkpoint=ck, policy=POLICY,
                                         schema=df.schema)
     changes = spark.read.parquet(sinks.changes)
@@ -120,3 +123,63 @@ def test_failed_batch_is_replayed_exactly_once(spark, tmp_dir, monkeypatch):
     assert changes.select("opportunity_id").distinct().count() == 25
     assert spark.read.parquet(sinks.processed).count() == 25
     assert spark.read.parquet(sinks.events).count() == 25 + 21
+
+
+def one_file(spark, path, rows):
+    R.from_rows(spark, rows).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_checkpoint_lost_and_made_again_at_the_same_path_loses_nothing(spark, tmp_dir):
+    """Two files drained one by one; a third lands, the checkpoint is lost and
+    made again with a larger trigger: its batches never replace the first run's."""
+    src, root, ck = (os.path.join(tmp_dir, d) for d in ("landing", "sinks", "ck"))
+    rows = fixture_rows()
+    schema = R.from_rows(spark, rows).schema
+    one_file(spark, src, rows[:8])
+    one_file(spark, src, rows[8:16])
+    incremental.run_incremental(spark, src, sinks_root=root, checkpoint=ck, policy=POLICY, schema=schema)
+    first = incremental.run_id(spark, ck)
+    one_file(spark, src, rows[16:])
+    os.rename(ck, os.path.join(tmp_dir, "lost"))
+    sinks = incremental.run_incremental(spark, src, sinks_root=root, checkpoint=ck, policy=POLICY,
+                                        files_per_trigger=2, schema=schema)
+    assert incremental.run_id(spark, ck) != first
+    changes = spark.read.parquet(sinks.changes)
+    assert changes.count() == changes.select("opportunity_id").distinct().count() == 25
+    assert spark.read.parquet(sinks.processed).count() == 25
+
+
+def test_marks_are_read_before_and_committed_after_each_batch(spark, tmp_dir):
+    """A later batch with older records only keeps the source's mark."""
+    src, root, ck = (os.path.join(tmp_dir, d) for d in ("landing", "sinks", "ck"))
+    rows = fixture_rows()[:4]
+    for r, hour in zip(rows, (12, 15, 9, 10)):
+        r["LastModifiedDate"] = f"2026-08-19T{hour:02d}:00:00Z"
+    schema = R.from_rows(spark, rows).schema
+    for part in (rows[:2], rows[2:]):
+        one_file(spark, src, part)
+        sinks = incremental.run_incremental(spark, src, sinks_root=root, checkpoint=ck, policy=POLICY, schema=schema)
+    stored = spark.read.parquet(sinks.marks)
+    assert [r.watermark.hour for r in stored.orderBy("batch_id").collect()] == [15, 15]
+    assert [tuple(r) for r in incremental.latest_marks(stored).collect()] == [("flat-file", dt.datetime(2026, 8, 19, 15))]
+
+
+def test_state_of_another_checkpoint_is_refused(spark, tmp_dir):
+    schema = "key string, ts timestamp, seq long, target string"
+    src, root = os.path.join(tmp_dir, "cmds"), os.path.join(tmp_dir, "lc")
+    spark.createDataFrame([("k", dt.datetime(2026, 1, 1), 1, "a")], schema).coalesce(1).write.parquet(src)
+    sink = lifecycle_state.run_lifecycle_stream(spark, src, schema, {"NEW": ("a",)}, "NEW", root=root)
+    os.rename(os.path.join(root, "checkpoint"), os.path.join(tmp_dir, "lost"))
+    with pytest.raises(Exception, match="state of another checkpoint"):
+        lifecycle_state.run_lifecycle_stream(spark, src, schema, {"NEW": ("a",)}, "NEW", root=root)
+    assert lifecycle_state.current_state(spark.read.parquet(sink)).count() == 1
+
+
+def test_csv_files_with_columns_in_another_order_stop_the_stream(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "landing")
+    df = R.from_rows(spark, fixture_rows())
+    df.coalesce(1).write.option("header", True).csv(src)
+    df.select(*reversed(df.columns)).coalesce(1).write.mode("append").option("header", True).csv(src)
+    with pytest.raises(Exception, match="header"):
+        incremental.run_incremental(spark, src, os.path.join(tmp_dir, "s"), os.path.join(tmp_dir, "ck"), POLICY,
+                                    source_format="csv", schema=df.schema)

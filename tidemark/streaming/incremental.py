@@ -15,7 +15,7 @@ never emitted twice). Processed rows are written last.
 
 from __future__ import annotations
 
-import hashlib
+import json
 import os
 from dataclasses import dataclass
 
@@ -61,6 +61,19 @@ PROCESSED_SCHEMA = T.StructType([
 ])
 
 
+MARKS_SCHEMA = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("watermark", T.TimestampType()),
+    T.StructField("run", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+])
+
+
+def latest_marks(marks: DataFrame) -> DataFrame:
+    """The mark of every source over all batches; marks never go back."""
+    return marks.groupBy("source").agg(F.max("watermark").alias("watermark"))
+
+
 def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The sink table, or an empty frame before its first batch (any filesystem)."""
     try:
@@ -82,10 +95,15 @@ def first_per_version(df: DataFrame) -> DataFrame:
     return agg.select(*versions.VERSION_KEYS, *[F.col(f"r.{c}").alias(c) for c in cols])
 
 
-def run_id(checkpoint: str) -> str:
+def run_id(spark: SparkSession, checkpoint: str) -> str:
     """Names the micro-batches of one checkpoint: batch numbers start again at 0
-    with every new checkpoint, so they tell batches apart only within a run."""
-    return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+    with every new checkpoint, so they tell batches apart only within a run.
+
+    The name is the id that Spark writes into the checkpoint when it makes it:
+    a checkpoint that is lost and made again at the same path is another run.
+    """
+    told = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return json.loads(told)["id"].replace("-", "")[:12]
 
 
 def _write_batch(df: DataFrame, path: str, run: str, batch_id: int) -> None:
@@ -113,9 +131,9 @@ def process_batch(batch: DataFrame, batch_id: int, sinks: IncrementalSinks,
     changes = audit.evaluation_changes(fresh, clock).withColumn(
         "validation_errors", F.array_join("validation_errors", P.ERROR_SEPARATOR))
     _write_batch(changes, sinks.changes, run, batch_id)
-    marks = sync.advance_marks(
-        deals, spark.createDataFrame([], "source string, watermark timestamp"))
-    _write_batch(marks, sinks.marks, run, batch_id)
+    others = _read_or_empty(spark, sinks.marks, MARKS_SCHEMA).where(
+        (F.col("run") != F.lit(f"r{run}")) | (F.col("batch_id") != F.lit(batch_id)))
+    _write_batch(sync.advance_marks(deals, latest_marks(others)), sinks.marks, run, batch_id)
     processed = fresh.select(*versions.VERSION_KEYS, clock.alias("processed_at"))
     _write_batch(processed, sinks.processed, run, batch_id)
     fresh.unpersist()
@@ -139,19 +157,26 @@ def run_incremental(
     job runs; the same query with a processing-time trigger runs forever.
     Sinks and checkpoint are the caller's and stay between calls. With the
     same checkpoint a call goes on where the last one stopped; with a new one
-    on used sinks the files are read again, and versions that any earlier run
+    (at whatever path) on used sinks the files are read again, and versions that any earlier run
     has processed are skipped: its output is never overwritten.
     """
     policy = policy or P.default_policy()
     sinks = IncrementalSinks(sinks_root)
-    run = run_id(checkpoint)
+    runs: list[str] = []  # known once the stream has made or found its checkpoint
+
+    def one(batch: DataFrame, batch_id: int) -> None:
+        if not runs:
+            runs.append(run_id(spark, checkpoint))
+        process_batch(batch, batch_id, sinks, policy, run=runs[0])
+
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
               .format(source_format))
     if source_format == "csv":
-        # columns go by the names of each file's header, never by position
+        # a file whose header names other columns, or the same in another order,
+        # stops the stream: no value is ever taken for another column's
         stream = stream.option("header", True).option("enforceSchema", False)
     q = (stream.load(source_dir).writeStream
-         .foreachBatch(lambda df, bid: process_batch(df, bid, sinks, policy, run=run))
+         .foreachBatch(one)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())

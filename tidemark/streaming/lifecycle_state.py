@@ -41,6 +41,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tidemark.operators.lifecycle import fold_transitions
 from tidemark.session import scratch_path, spread
+from tidemark.streaming.incremental import run_id
 
 OUTPUT_SCHEMA = ("key string, status string, moves long, last_ts timestamp, last_seq long, "
                  "late long")
@@ -95,8 +96,29 @@ def lifecycle_stream(commands: DataFrame, relation: Mapping[str, Sequence[str]],
         GroupStateTimeout.NoTimeout)
 
 
+def stored_updates(spark: SparkSession, sink: str, schema: str) -> DataFrame:
+    """The updates of earlier batches; none before the first. A sink that cannot
+    be read is an error, not an empty state."""
+    try:
+        prior = spark.read.schema(schema).parquet(sink)
+        prior.schema
+        return prior
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def refuse_other_runs(spark: SparkSession, sink: str, run: str) -> None:
+    """A new checkpoint reads every command again, and numbers its batches from 0:
+    on the state of another run they would be late, or overwrite it."""
+    others = stored_updates(spark, sink, "run string").where(F.coalesce(F.col("run") != run, F.lit(True)))
+    if not others.isEmpty():
+        raise RuntimeError(f"{sink} holds the state of another checkpoint: start a new state with a new root")
+
+
 def fold_batch(batch: DataFrame, batch_id: int, sink: str,
-               relation: Mapping[str, Sequence[str]], start: str) -> None:
+               relation: Mapping[str, Sequence[str]], start: str, run: str = "direct") -> None:
     """One micro-batch of the ``"fold"`` engine (JVM only, set-based).
 
     Reads the latest state of the batch's keys from earlier batches, counts
@@ -108,11 +130,7 @@ def fold_batch(batch: DataFrame, batch_id: int, sink: str,
     seq_t = batch.schema["seq"].dataType.simpleString()
     schema = (f"key string, status string, moves long, last_ts {ts_t}, last_seq {seq_t}, "
               f"seen_ts {ts_t}, seen_seq {seq_t}, late long, batch_id long")
-    try:
-        prior = spark.read.schema(schema).parquet(sink)
-        prior.schema
-    except AnalysisException:
-        prior = spark.createDataFrame([], schema)
+    prior = stored_updates(spark, sink, schema)
     cmds = spread(batch.select("key", "ts", "seq", "target")).persist(StorageLevel.MEMORY_AND_DISK)
     keys = cmds.select("key").distinct()
     old = current_state(prior.where(F.col("batch_id") < batch_id)).join(keys, "key", "left_semi")
@@ -135,7 +153,7 @@ def fold_batch(batch: DataFrame, batch_id: int, sink: str,
         (F.coalesce("l0", F.lit(0)) + F.col("n_late")).cast("long").alias("late"),
         F.lit(batch_id).cast("long").alias("batch_id"),
     )
-    out.drop("batch_id").write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}"))
+    out.drop("batch_id").withColumn("run", F.lit(run)).write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}"))
     cmds.unpersist()
 
 
@@ -155,20 +173,28 @@ def run_lifecycle_stream(
     commands = spark.readStream.schema(schema).option(
         "maxFilesPerTrigger", files_per_trigger).parquet(source_dir)
 
+    checkpoint = os.path.join(root, "checkpoint")
+    runs: list[str] = []
+
+    def run() -> str:
+        if not runs:
+            runs.append(run_id(spark, checkpoint))
+            refuse_other_runs(spark, sink, runs[0])
+        return runs[0]
+
     def write(df: DataFrame, batch_id: int) -> None:
-        df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(
-            os.path.join(sink, f"batch_id={batch_id}"))
+        df.withColumn("run", F.lit(run())).write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}"))
 
     if engine == "fold":
         writer = commands.writeStream.foreachBatch(
-            lambda df, bid: fold_batch(df, bid, sink, relation, start))
+            lambda df, bid: fold_batch(df, bid, sink, relation, start, run()))
     elif engine == "state-store":
         writer = (lifecycle_stream(commands, relation, start).writeStream
                   .outputMode("update").foreachBatch(write))
     else:
         raise ValueError(f"unknown engine {engine!r}")
     q = (writer
-         .option("checkpointLocation", os.path.join(root, "checkpoint"))
+         .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
@@ -181,6 +207,6 @@ def current_state(updates: DataFrame) -> DataFrame:
     """Latest update per key across batches (a partial ``max_by`` aggregate).
 
     ``batch_id`` comes from the ``batch_id=N`` directory names."""
-    cols = [c for c in updates.columns if c not in ("key", "batch_id")]
+    cols = [c for c in updates.columns if c not in ("key", "batch_id", "run")]
     agg = updates.groupBy("key").agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("s"))
     return agg.select("key", *[F.col(f"s.{c}").alias(c) for c in cols])
