@@ -7,7 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import audit, lifecycle, review, rules, submission, versions
+from tidemark.operators import audit, lifecycle, prefix_fold, review, rules, submission, versions
 from tidemark.plans import policy as P
 from tidemark.plans.catalog import POLICY, register, rules_sql
 from tidemark.plans.sql_text import fingerprint_sql, hash_id_sql
@@ -510,3 +510,48 @@ def q_skewed_request_lifecycle(spark, sf_dir):
     cmds = T.skewed_request_commands(spark, sf_dir)
     state, _ = lifecycle.fold_transitions(cmds, P.REQUEST_TRANSITIONS, start=P.NEW)
     return state.select("key", "status", "moves", "last_seq")
+
+
+# ------------------------------------------------- fold of a relation with cycles
+
+# a third of all commands are one key's
+CYCLIC_RELATION = {"NEW": ("signup", "view"), "signup": ("view", "error"), "view": ("click", "error", "view"),
+                   "click": ("view", "purchase"), "purchase": ("signup",), "error": ("NEW", "signup", "view")}
+SQL_CYCLIC = """
+cmds AS (
+  SELECT CASE WHEN user_id % 3 = 0 THEN 'HOT' ELSE CAST(user_id AS VARCHAR) END AS key, ts, event_id AS seq, event_type AS target FROM events
+),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY ts, seq) AS rn FROM cmds),
+edges(src, dst) AS (VALUES ('NEW', 'signup'), ('NEW', 'view'), ('signup', 'view'), ('signup', 'error'), ('view', 'click'), ('view', 'error'),
+  ('view', 'view'), ('click', 'view'), ('click', 'purchase'), ('purchase', 'signup'), ('error', 'NEW'), ('error', 'signup'), ('error', 'view')),
+walk(key, rn, state, moves) AS (
+  SELECT DISTINCT key, CAST(0 AS BIGINT), 'NEW', CAST(0 AS BIGINT) FROM cmds
+  UNION ALL
+  SELECT w.key, n.rn, coalesce(e.dst, w.state), w.moves + CASE WHEN e.dst IS NOT NULL THEN 1 ELSE 0 END
+  FROM walk w JOIN numbered n ON n.key = w.key AND n.rn = w.rn + 1
+  LEFT JOIN edges e ON e.src = w.state AND e.dst = n.target
+)"""
+
+
+def cyclic_commands(spark, sf_dir):
+    ev = T.table(spark, sf_dir, "events")
+    hot = F.when(F.col("user_id") % 3 == 0, F.lit("HOT")).otherwise(F.col("user_id").cast("string"))
+    return ev.select(hot.alias("key"), "ts", F.col("event_id").alias("seq"), F.col("event_type").alias("target"))
+
+
+@register("cyclic_outcomes", f"""
+WITH RECURSIVE {SQL_CYCLIC}
+SELECT n.key, n.seq, n.target, w.state AS state_before, e.dst IS NOT NULL AS applied, w.moves AS moves_before,
+  CASE WHEN e.dst IS NULL THEN 'Invalid registration transition: ' || w.state || ' -> ' || n.target END AS rejection
+FROM numbered n JOIN walk w ON w.key = n.key AND w.rn = n.rn - 1
+LEFT JOIN edges e ON e.src = w.state AND e.dst = n.target""")
+def q_cyclic_outcomes(spark, sf_dir):
+    out = prefix_fold.prefix_outcomes(cyclic_commands(spark, sf_dir), CYCLIC_RELATION, "NEW")
+    return out.select("key", "seq", "target", "state_before", "applied", "moves_before", "rejection")
+
+
+@register("cyclic_final", f"""
+WITH RECURSIVE {SQL_CYCLIC}
+SELECT key, state AS status, moves FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY rn DESC) AS r FROM walk) WHERE r = 1""")
+def q_cyclic_final(spark, sf_dir):
+    return prefix_fold.prefix_state(prefix_fold.prefix_outcomes(cyclic_commands(spark, sf_dir), CYCLIC_RELATION, "NEW"))
