@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from functools import cached_property
 
 from pyspark.sql import functions as F
@@ -11,8 +12,9 @@ from tidemark.operators import audit, lifecycle, prefix_fold, review, rules, sub
 from tidemark.plans import policy as P
 from tidemark.plans.catalog import POLICY, register, rules_sql
 from tidemark.plans.sql_text import fingerprint_sql, hash_id_sql
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, scratch_path
 from tidemark.sources import testdata as T
+from tidemark.sources.request_table import RequestTable
 
 # ------------------------------------------------------------- lifecycle fold
 
@@ -555,3 +557,39 @@ WITH RECURSIVE {SQL_CYCLIC}
 SELECT key, state AS status, moves FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY rn DESC) AS r FROM walk) WHERE r = 1""")
 def q_cyclic_final(spark, sf_dir):
     return prefix_fold.prefix_state(prefix_fold.prefix_outcomes(cyclic_commands(spark, sf_dir), CYCLIC_RELATION, "NEW"))
+
+
+# ------------------------------------------------- request table merged on read
+
+
+def request_table_changes(spark, sf_dir):
+    """events as change rows: a request for each user and day, ``change_seq`` = event_id."""
+    ev = T.table(spark, sf_dir, "events")
+    none = F.lit(None).cast("string")
+    at = F.col("ts").cast("timestamp")
+    errors = F.when(F.col("event_type") == "error", F.array(F.concat(F.lit('Invalid: "'), F.col("event_id").cast("string"), F.lit('"'))))
+    return ev.select(
+        F.concat_ws("-", F.col("user_id").cast("string"), F.date_format("ts", "yyyy-MM-dd")).alias("request_id"),
+        F.concat(F.lit("O"), F.col("event_id").cast("string")).alias("opportunity_id"), F.col("event_type").alias("status"),
+        errors.alias("validation_errors"), none.alias("approved_by"), F.lit(None).cast("timestamp").alias("approved_at"),
+        none.alias("registration_number"), F.lit(None).cast("timestamp").alias("submitted_at"), none.alias("error"),
+        at.alias("updated_at"), F.col("event_id").alias("change_seq"))
+
+
+@register("request_table", """
+SELECT concat_ws('-', CAST(user_id AS VARCHAR), strftime(ts, '%Y-%m-%d')) AS request_id,
+  'O' || CAST(min(event_id) AS VARCHAR) AS opportunity_id, arg_max(event_type, event_id) AS status,
+  arg_max(CASE WHEN event_type = 'error' THEN '["Invalid: \\"' || CAST(event_id AS VARCHAR) || '\\""]' ELSE '[]' END, event_id) AS validation_errors,
+  arg_min(ts, event_id) AS created_at, arg_max(ts, event_id) AS updated_at, max(event_id) AS change_seq
+FROM events GROUP BY 1""")
+def q_request_table(spark, sf_dir):
+    """Three batches in no order of time, buckets rewritten after the second."""
+    table = RequestTable(spark, scratch_path(spark, "request-table", uuid.uuid4().hex[:12]), buckets=16)
+    changes = request_table_changes(spark, sf_dir)
+    for batch, part in enumerate((2, 0, 1)):
+        table.apply(changes.where(F.col("change_seq") % 3 == part), batch)
+        if batch == 1:
+            table.compact()
+    return table.read().select(
+        "request_id", "opportunity_id", "status", "validation_errors",
+        F.col("created_at").cast("timestamp_ntz").alias("created_at"), F.col("updated_at").cast("timestamp_ntz").alias("updated_at"), "change_seq")
