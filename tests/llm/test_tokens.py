@@ -80,3 +80,27 @@ def test_broadcast_words_are_bounded_by_bytes(spark):
 def test_codec_empty(docs):
     path = tokenizer_path("word_bpe_49k.json")
     assert word_table_bpe.encode(docs.limit(0), path).collect() == []
+
+
+def test_every_code_point_splits_as_the_library_does():
+    """Each code point between letters, digits and signs, alone and in long texts."""
+    path = tokenizer_path("word_bpe_49k.json")
+    split = word_table_bpe.Splitter(path)
+    tok = split.tok
+    marks = [chr(c) for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    texts = [f"Aß{c}é{c}{c}1{c}'s {c}É_{c}" for c in marks if ord(c) < 0x3000 or ord(c) % 16 == 0]
+    texts += ["ΑΣ ΟΔΟΣ", "é É ẹ́", "".join(marks[:0x2FF]), "".join(marks[0x370:0x483]), "".join(marks[0x4E00:0x5200])]
+    for text in texts:
+        normal = tok.normalizer.normalize_str(text)
+        assert split.part(text) == [normal[a:b] for _, (a, b) in tok.pre_tokenizer.pre_tokenize_str(normal)], text[:20]
+    assert split.plain.holds("éÄяÉ中 ß") and not split.plain.holds("ΑΣ") and not split.plain.holds("e\u0301")
+
+
+def test_equal_neighbours_are_worked_once(spark):
+    path = tokenizer_path("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    texts = ["only here alone"] * 3 + [None, None, "", "only here alone", "Zwölf Größen"] + ["Zwölf Größen"] * 2
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    assert {r.word: r.n for r in word_table_bpe.distinct_words(rows, path).collect()} == {"only": 2, "here": 2, "alone": 2, "zwölf": 1, "größen": 1}
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in word_table_bpe.encode(rows, path).collect()}
+    assert got == {i: tok.encode(t or "", add_special_tokens=False).ids for i, t in enumerate(texts)}

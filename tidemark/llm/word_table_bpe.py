@@ -23,7 +23,10 @@ to the driver (at most 64 rows).
 
 Special strings inside texts are their own ids, as the library's default has
 it. Splitting is exact: a text with a code point that the two regex engines
-might class differently is split by the library (see token_counts).
+might class differently is split by the library (see token_counts). Most texts
+need no normaliser: where every code point is proved to keep to itself (see
+PlainChars), normalising is lower-casing. A text equal to the row before it,
+as the copies of a mix are, is split and encoded once.
 
 Defined cases: a null text is empty (no ids, decoded to nothing); repeated rows
 each give a row; other columns are ignored, whatever their names.
@@ -31,6 +34,7 @@ each give a row; other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 from collections import Counter
@@ -55,10 +59,46 @@ LONG_WORD = 1024  # bytes of a word and its ids
 FLUSH_WORDS = 200_000  # a task gives its distinct words whenever it has so many
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PROBES = (("x", r"\p{L}"), ("?", r"[^\s\p{L}\p{N}]"), ("", r"\S"))
+# the same words in texts of plain code points, by the standard library's classes
+PLAIN_WORDS = r"[^\W\d_]+|\d|'(?:[stmd]|re|ve|ll)|(?:[^\s\w]|_)+"
+PLAIN_PROBES = (("x", r"[^\W\d_]"), ("?", r"[^\s\w]|_"), ("", r"\S"))
+# no code point here joins the one before it under NFC, in any version of Unicode
+UNJOINED = (range(0x300), range(0x370, 0x483), range(0x2010, 0x2028), range(0x4E00, 0xA000))
 BYTES_PER_BATCH = 8 << 20
 CACHE_WORDS = 200_000
 
 
+class PlainChars:
+    """Code points that the library is proved to lower alone and to class as
+    PLAIN_WORDS does. They are in UNJOINED, so NFC changes a text of them only
+    code point by code point; capital sigma, whose lower case hangs on its
+    neighbours, is none. White space may become other white space: it is no
+    part of a word."""
+
+    def __init__(self, tok, flags: int = 0):
+        self.normal, self.pieces = tok.normalizer.normalize_str, tok.pre_tokenizer.pre_tokenize_str
+        self.probes = [(x, re.compile(c, flags)) for x, c in PLAIN_PROBES]
+        self.space = re.compile(r"\s", flags)
+        self.good: set[str] = set()
+        self.bad: set[str] = set()
+
+    def proved(self, c: str) -> bool:
+        if c == "\u03a3" or not any(ord(c) in r for r in UNJOINED):
+            return False
+        normal, low = self.normal(f"x{c}x"), c.lower()
+        if normal == "x x":
+            return bool(self.space.fullmatch(c))
+        return len(low) == 1 and normal == f"x{low}x" and all(
+            (len(self.pieces(x + low + x)) == 1) == bool(own.fullmatch(low)) for x, own in self.probes
+        )
+
+    def holds(self, text: str) -> bool:
+        new = set(text) - self.good
+        for c in new - self.bad:
+            (self.good if self.proved(c) else self.bad).add(c)
+        return new.isdisjoint(self.bad)
+
+
 class Splitter:
     """Words of texts, as the library's normaliser and pre-tokenizer have them."""
 
@@ -67,7 +107,9 @@ class Splitter:
         self.normal = self.tok.normalizer.normalize_str
         self.words = regex.compile(PATTERN).findall
         self.proof = ClassProof(self.tok.pre_tokenizer, PROBES)
-        self.ascii = self.proof.holds("".join(map(chr, range(128))))
+        self.plain, self.plain_words = PlainChars(self.tok), re.compile(PLAIN_WORDS).findall
+        self.ascii = PlainChars(self.tok, re.ASCII).holds("".join(map(chr, range(128))))
+        self.ascii_words = re.compile(PLAIN_WORDS, re.ASCII).findall
         self.special = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
         ordered = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, ordered)) + ")") if ordered else None
@@ -82,8 +124,9 @@ class Splitter:
 
     def part(self, text: str) -> list[str]:
         if self.ascii and text.isascii():
-            # the normaliser only lowers A-Z and joins white space, which is no part of a word
-            return self.words(text.lower())
+            return self.ascii_words(text.lower())
+        if self.plain.holds(text):
+            return self.plain_words(text.lower())
         text = self.normal(text)
         if self.proof.holds(text):
             return self.words(text)
@@ -100,10 +143,10 @@ def splitter(path: str) -> Splitter:
 
 
 def distinct_words(docs: DataFrame, path: str) -> DataFrame:
-    """(word, n) over all texts."""
+    """(word, n) over all texts; a text equal to the row before it adds nothing."""
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, seen = splitter(path), Counter()
+        split, seen, last = splitter(path), Counter(), None
 
         def rows():
             out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
@@ -111,9 +154,11 @@ def distinct_words(docs: DataFrame, path: str) -> DataFrame:
             return out
 
         for batch in batches:
-            for text in batch.column(0):
-                if text.is_valid:
-                    seen.update(split(text.as_py()))
+            for cell in batch.column(0):
+                text = cell.as_py()
+                if text is not None and text != last:
+                    seen.update(split(text))
+                last = text
                 if len(seen) >= FLUSH_WORDS:
                     yield rows()
         if seen:
@@ -140,7 +185,7 @@ class Coder:
 
 
 def word_table(docs: DataFrame, path: str) -> DataFrame:
-    """(word, n, ids) of every distinct word that occurs more than once."""
+    """(word, n, ids) of every distinct word that was counted more than once."""
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = Coder(path)
@@ -246,17 +291,19 @@ def encode(docs: DataFrame, path: str, *, broadcast_words: int = BROADCAST_WORDS
             except KeyError:
                 table.find(set(words))
             own = table.cache
-            if complete:  # the table has every word that occurs twice: what it lacks stands here alone
+            if complete:  # the table has every word counted twice: what it lacks stands here alone
                 return b"".join([own[w] if w in own else code(w) for w in words])
             return b"".join([own[w] for w in words]) if all(w in own for w in words) else None
 
+        last, own = None, b""
         for batch in batches:
             at = 0
             while at < batch.num_rows:
                 ids, found, size = [], [], 0
                 while at < batch.num_rows and size < BYTES_PER_BATCH:
-                    text = batch.column(1)[at]
-                    own = coded(text.as_py()) if text.is_valid else b""
+                    text = batch.column(1)[at].as_py()
+                    if text != last:
+                        last, own = text, b"" if text is None else coded(text)
                     if own is not None:
                         ids.append(at)
                         found.append(own)
@@ -314,18 +361,20 @@ def decode(coded: DataFrame, path: str, *, id_col: str = "doc_id") -> DataFrame:
     pieces = [""] * (max(vocab.values()) + 1)
     for piece, i in vocab.items():
         pieces[i] = piece
-    table = coded.sparkSession.sparkContext.broadcast(pieces)  # bounded by the vocabulary
+    table = coded.sparkSession.sparkContext.broadcast(pa.array(pieces, pa.string()))  # bounded by the vocabulary
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = table.value.__getitem__
         for batch in batches:
             # a few documents at a time: texts are several times as long as ids
             size = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64))
             cuts = np.flatnonzero(np.diff(size // (BYTES_PER_BATCH // 2))) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(size)], strict=True):
                 part = batch.slice(a, b - a)
-                texts = [" ".join(map(piece, np.frombuffer(i.as_py(), "<u4").tolist())) for i in part.column(1)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], ["id", "ids", "decoded"])
+                ids = np.frombuffer(b"".join(part.column(1).to_pylist()), "<u4")
+                ends = np.concatenate([[0], size[a:b] - (size[a - 1] if a else 0)]) // 4
+                lists = pa.LargeListArray.from_arrays(ends, table.value.take(pa.array(ids)))
+                texts = pc.binary_join(lists, " ").cast(pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], ["id", "ids", "decoded"])
 
     rows = coded.select(F.col(id_col).alias("id"), "ids")
     out = T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())])
