@@ -68,3 +68,36 @@ def test_a_manifest_that_was_not_finished_is_not_seen(spark, tmp_dir):
     assert table.manifest()["version"] == 1 and table.read().count() == 1
     table.apply(spark.createDataFrame([change("a", 2)], SCHEMA), 1)
     assert found(table.read())["a"][1] == "S2"
+
+
+def test_counts_equal_a_recount_after_every_batch(spark, tmp_dir):
+    rng = random.Random(9)
+    states = ["VALIDATED", "VALIDATION_FAILED", "APPROVED", None]
+    rows = [change(f"r{rng.randint(0, 25)}", seq)[:2] + (rng.choice(states),) + change("r", seq)[3:] for seq in range(150)]
+    rng.shuffle(rows)  # older changes come late
+    table = RequestTable(spark, f"{tmp_dir}/t", buckets=8)
+    assert table.counts().collect() == [] and tuple(table.summary().first()) == (0, 0, 0)
+    for batch in range(5):
+        part = rows[batch * 30:(batch + 1) * 30]
+        table.apply(spark.createDataFrame(part, SCHEMA), batch)
+        table.apply(spark.createDataFrame(part, SCHEMA), batch)  # a retry counts nothing twice
+        if batch == 2:
+            table.compact()
+        last = {}
+        for r in sorted(rows[:(batch + 1) * 30], key=lambda r: r[-1]):
+            last[r[0]] = r[2]
+        want = {s: list(last.values()).count(s) for s in set(last.values())}
+        assert {r.status: r.n for r in table.counts().collect()} == want
+        assert tuple(table.summary().first()) == (len(last), want.get("VALIDATED", 0), want.get("VALIDATION_FAILED", 0))
+
+
+def test_counts_read_only_the_buckets_that_a_batch_touches(spark, tmp_dir):
+    table = RequestTable(spark, f"{tmp_dir}/t", buckets=8)
+    before = table.apply(spark.createDataFrame([change(f"r{i}", 1) for i in range(60)], SCHEMA), 0)
+    after = table.apply(spark.createDataFrame([change("r7", 2)], SCHEMA), 1)
+    touched = [b for b in after["live"] if after["live"][b] != before["live"][b]]
+    assert len(touched) == 1
+    files = table._counted(before, after["live"], "changes/version=2").inputFiles()
+    data = {f.split("/bucket=")[1].split("/")[0] for f in files if "/bucket=" in f}
+    assert data == set(touched)
+    assert {r.status: r.n for r in table.counts().collect()} == {"S1": 59, "S2": 1}

@@ -106,3 +106,30 @@ def test_changed_since_filter_reaches_scan(spark):
     plan = sync.changed_since(d, dt.datetime(1998, 1, 1))._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(source_updated_at), GreaterThan(source_updated_at" in plan or \
         "GreaterThan(o_orderdate" in plan
+
+
+def test_records_at_the_mark_come_once_over_three_syncs(spark):
+    at = lambda day: dt.datetime(2026, 3, day)
+    marks = spark.createDataFrame([], "source string, watermark timestamp")
+    seen = spark.createDataFrame([], sync.SEEN_SCHEMA)
+    landed = [
+        [("a", "1", at(1)), ("a", "2", at(2)), ("b", "1", at(5)), ("c", "9", None)],
+        [("a", "3", at(2)), ("a", "4", at(1)), ("b", "2", at(4)), ("b", "3", at(5)), ("b", "3", at(5))],  # ties, late ones, a repeated row
+        [("a", "2", at(3)), ("a", "5", at(2)), ("b", "4", at(5)), (None, "n", at(1)), ("c", "8", at(1))],  # an updated record
+    ]
+    rows, got = [], []
+    for part in landed:
+        rows += part
+        df = spark.createDataFrame(rows, "source_system string, source_id string, source_updated_at timestamp")
+        new = sync.changed_since_keyset(df, marks, seen)
+        got.append(sorted((r.source_system or "", r.source_id) for r in new.collect()))
+        marks, seen = sync.advance_keyset(new, marks, seen)
+        marks, seen = (spark.createDataFrame(t.collect(), t.schema) for t in (marks, seen))
+    assert got == [
+        [("a", "1"), ("a", "2"), ("b", "1"), ("c", "9")],
+        [("a", "3"), ("b", "3"), ("b", "3"), ("c", "9")],
+        [("", "n"), ("a", "2"), ("a", "5"), ("b", "4"), ("c", "8"), ("c", "9")],
+    ]
+    assert {(r.source, r.watermark, r.id) for r in seen.collect()} == {
+        ("a", at(3), "2"), ("b", at(5), "1"), ("b", at(5), "3"), ("b", at(5), "4"), ("c", at(1), "8")}
+    assert sync.changed_since_keyset(df, marks, seen).select("source_id").collect() == [("n",)]

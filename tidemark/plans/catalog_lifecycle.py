@@ -593,3 +593,25 @@ def q_request_table(spark, sf_dir):
     return table.read().select(
         "request_id", "opportunity_id", "status", "validation_errors",
         F.col("created_at").cast("timestamp_ntz").alias("created_at"), F.col("updated_at").cast("timestamp_ntz").alias("updated_at"), "change_seq")
+
+
+@register("running_status_counts", """
+WITH rows AS (
+  SELECT concat_ws('-', CAST(user_id AS VARCHAR), strftime(ts, '%Y-%m-%d')) AS request_id, event_type, event_id,
+    (event_id + 1) % 3 AS batch
+  FROM events
+),
+now AS (
+  SELECT b.batch, request_id, arg_max(event_type, event_id) AS status
+  FROM (VALUES (0), (1), (2)) b(batch) JOIN rows r ON r.batch <= b.batch GROUP BY 1, 2
+)
+SELECT CAST(batch AS INTEGER) AS batch, status, count(*) AS n FROM now GROUP BY 1, 2""")
+def q_running_status_counts(spark, sf_dir):
+    """Counts kept by the table after each of three batches, older changes coming late."""
+    table = RequestTable(spark, scratch_path(spark, "running-counts", uuid.uuid4().hex[:12]), buckets=16)
+    changes, out = request_table_changes(spark, sf_dir), None
+    for batch in range(3):
+        table.apply(changes.where((F.col("change_seq") + 1) % 3 == batch), batch)
+        kept = table.counts().select(F.lit(batch).alias("batch"), "status", "n")
+        out = kept if out is None else out.unionByName(kept)
+    return out

@@ -10,6 +10,7 @@ from tidemark.operators import rules, sync, versions
 from tidemark.plans.catalog import POLICY, SQL_DEALS, register, rules_sql
 from tidemark.plans.sql_text import fingerprint_sql
 from tidemark.sources import records as R
+from tidemark.session import cut_lineage
 from tidemark.sources import testdata as T
 
 SYNC_MARK = dt.datetime(1998, 1, 1)
@@ -230,3 +231,39 @@ def q_advance_marks(spark, sf_dir):
     marks = T.source_marks(spark, sf_dir)
     changed = sync.changed_since_marks(d, marks, source="country")
     return sync.advance_marks(changed, marks, source="country")
+
+
+@register("keyset_syncs", """
+WITH landed AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority AS source, date_trunc('year', o_orderdate)::TIMESTAMP AS changed_at,
+    CASE WHEN year(o_orderdate) < 1995 OR (year(o_orderdate) = 1995 AND o_orderkey % 2 = 0) THEN 1
+         WHEN year(o_orderdate) <= 1996 OR (year(o_orderdate) = 1997 AND o_orderkey % 3 = 0) THEN 2 ELSE 3 END AS sync
+  FROM orders
+),
+sync1 AS (SELECT id, source, changed_at FROM landed WHERE sync = 1),
+mark1 AS (SELECT source, max(changed_at) AS mark FROM sync1 GROUP BY 1),
+sync2 AS (
+  SELECT id, l.source, changed_at FROM landed l LEFT JOIN mark1 m ON l.source = m.source
+  WHERE sync <= 2 AND (mark IS NULL OR changed_at > mark OR (changed_at = mark AND id NOT IN (SELECT id FROM sync1)))
+),
+mark2 AS (SELECT source, max(changed_at) AS mark FROM (FROM sync1 UNION ALL FROM sync2) GROUP BY 1),
+sync3 AS (
+  SELECT id, l.source, changed_at FROM landed l LEFT JOIN mark2 m ON l.source = m.source
+  WHERE mark IS NULL OR changed_at > mark OR (changed_at = mark AND id NOT IN (SELECT id FROM sync1 UNION ALL SELECT id FROM sync2))
+)
+SELECT 1 AS sync, id, source, changed_at FROM sync1 UNION ALL SELECT 2, id, source, changed_at FROM sync2 UNION ALL SELECT 3, id, source, changed_at FROM sync3""")
+def q_keyset_syncs(spark, sf_dir):
+    """Three syncs over orders landing bit by bit, with many records at every mark."""
+    o, year, key = T.table(spark, sf_dir, "orders"), F.year("o_orderdate"), F.col("o_orderkey")
+    first = (year < 1995) | ((year == 1995) & (key % 2 == 0))
+    second = (year <= 1996) | ((year == 1997) & (key % 3 == 0))
+    rows = o.select(key.cast("string").alias("id"), F.col("o_orderpriority").alias("source"),
+                    F.date_trunc("year", "o_orderdate").cast("timestamp_ntz").alias("changed_at"), F.when(first, 1).when(second, 2).otherwise(3).alias("landed"))
+    marks = spark.createDataFrame([], "source string, watermark timestamp_ntz")
+    seen, out = spark.createDataFrame([], "source string, watermark timestamp_ntz, id string"), None
+    for n in (1, 2, 3):
+        new = sync.changed_since_keyset(rows.where(F.col("landed") <= n), marks, seen, "source", "changed_at", "id")
+        new = cut_lineage(new.select(F.lit(n).alias("sync"), "id", "source", "changed_at"), "keyset-read")
+        marks, seen = (cut_lineage(t, "keyset-state") for t in sync.advance_keyset(new, marks, seen, "source", "changed_at", "id"))
+        out = new if out is None else out.unionByName(new)
+    return out
