@@ -117,3 +117,36 @@ def test_url_empty_tables(spark):
     pages = spark.createDataFrame([(1, "http://a.org/")], "page_id long, url string")
     assert [r.verdict for r in url_filter.judge_urls(pages, pages.limit(0), []).collect()] == ["allow"]
     assert url_filter.judge_urls(pages.limit(0), pages, []).collect() == []
+
+
+@pytest.mark.parametrize("ranges", [4096, 8])
+def test_rows_of_one_place_are_taken_one_by_one(spark, monkeypatch, ranges):
+    """Repeated rows and null ids: as near the target as rows with ids of their own."""
+    monkeypatch.setattr(mix_sources, "ROWS_PER_RANGE", ranges)
+    text = "one two three"
+    tables = {
+        "equal rows": [(1, text, "a")] * 1000,
+        "null ids": [(None, text, "a")] * 1000,
+        "own ids": [(i, text, "a") for i in range(1000)],
+        "null ids, own texts": [(None, f"{text} x{i}", "a") for i in range(1000)],
+        "a third equal": [(7, text, "a")] * 300 + [(i, "w " * (1 + i % 5), "ab"[i % 2]) for i in range(600)],
+        "null source and text": [(7, text, None)] * 300 + [(None, None, None)] * 50 + [(i, text, "b") for i in range(50)],
+    }
+    for name, rows in tables.items():
+        if ranges == 8 and name not in ("equal rows", "a third equal"):
+            continue
+        table = docs(spark, rows).repartition(5)
+        got = mix_sources.mix(table).collect()
+        assert len(got) == len(rows), name
+        want = {round(r.target, 3): r.source_size for r in got}
+        for target, total in want.items():
+            own = [r for r in got if round(r.target, 3) == target and r.source_size == total]
+            assert abs(sum(r.taken for r in own) - target) <= max(r["size"] for r in own), (name, target)
+            assert all(r.taken <= 2 * r["size"] for r in own)
+        if name == "a third equal":
+            again = sorted((r.doc_id, r["size"], r.taken) for r in mix_sources.mix(table).collect())
+            assert again == sorted((r.doc_id, r["size"], r.taken) for r in got)
+        copies = mix_sources.mixed(table)
+        assert copies.columns == table.columns
+        words = sum(len((r.text or "").split()) for r in copies.collect())
+        assert words == sum(r.taken for r in got), name

@@ -11,9 +11,15 @@ No source is sorted as a whole. Keys fall into ranges (the exponential
 distribution function of the key at the source's mean weight, cut into equal
 parts, about ``ROWS_PER_RANGE`` rows each); sizes are summed per range with
 partial aggregation, ranges are prefix-summed, and only the one range of a
-source in which its budget ends is sorted by row. The window over ranges has
-one row per range, that over rows only the rows of one range per source, so a
-source with a third of all rows is never in one task.
+source in which its budget ends is sorted. The window over ranges has one row
+per range, that over rows only the distinct places of one range per source, so
+a source with a third of all rows is never in one task.
+
+Rows of equal id and text (repeated rows, null ids of one text) share a place
+in the order. They are summed as one place before the window, and of the place
+at which the budget ends only as many rows are taken as fit, numbered per task
+with prefix sums over tasks, so a place with a third of all rows is in no one
+task either. That step runs only where such a place is split.
 
 Bound on sources: targets need all sources in one order, and the windows of
 ``source_targets`` have no partition key, so one task sorts one narrow row per
@@ -29,8 +35,9 @@ until one final division.
 
 Defined cases: a null text has size 0; a null, zero, negative or not finite
 weight ranks its document after all others; a null source is a source of its
-own; repeated rows (equal id and text) are taken alike; a source of size 0 has
-target 0; empty input gives no rows; other columns are ignored.
+own; repeated rows (equal id and text) count one by one, and which of them are
+taken once more is not told apart; a source of size 0 has target 0; empty input
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -97,7 +104,7 @@ def _sized(docs: DataFrame, id_col: str, quality) -> list[Column]:
     usable = F.coalesce((q > 0) & ~F.isnan(q) & (q < F.lit(float("inf"))), F.lit(False))
     return [
         F.col(id_col).alias("id"), F.col("source").alias("source"), word_count(text).alias("size"), q.alias("weight"), usable.alias("usable"),
-        (-F.log(uniform_key(F.col(id_col).cast("string")))).alias("draw"), F.xxhash64(text).alias("tie"),
+        (-F.log(uniform_key(F.coalesce(F.col(id_col).cast("string"), F.md5(text))))).alias("draw"), F.xxhash64(text).alias("tie"),
     ]
 
 
@@ -113,8 +120,9 @@ def _order(row: str = "") -> Column:
 
 
 def source_cuts(sized: DataFrame, *, weights=WEIGHTS, share_percent: int = SHARE_PERCENT, cap: int = CAP) -> DataFrame:
-    """(s, source_size, target, epochs, cut) per source: all documents up to
-    ``cut`` in the sampling order (null: none) are taken once more than ``epochs`` times."""
+    """(s, source_size, target, epochs, cut, take, ties) per source: all documents
+    before ``cut`` in the sampling order (null: none) are taken once more than
+    ``epochs`` times, and ``take`` of the ``ties`` documents whose place it is."""
     targets = written(source_targets(sized, weights, share_percent, cap), "mix-targets")
     targets = targets.select(
         F.col("source").alias("s"), "source_size", "source_rows", "mean_weight", "target",
@@ -142,22 +150,46 @@ def source_cuts(sized: DataFrame, *, weights=WEIGHTS, share_percent: int = SHARE
     )
     # the prefix that comes nearest: a document is taken if its middle lies within the budget
     part = keyed.join(ends, F.col("source").eqNullSafe(F.col("s2")) & (F.col("range") == F.col("r2"))).withColumn("place", _order())
+    # rows of one place have one size
+    part = part.groupBy("source", "place").agg(F.count(F.lit(1)).alias("ties"), F.first("size").alias("size"), F.first("start").alias("start"), F.first("rest").alias("rest"))
     order = W.partitionBy("source").orderBy("place")
-    done = F.col("start") + F.coalesce(F.sum("size").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    done = F.col("start") + F.coalesce(F.sum(F.col("size") * F.col("ties")).over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    # row j of a place, from 0, has its middle at done + j * size + size / 2
+    fitting = F.floor((2 * F.col("rest") - 2 * F.col("done") - F.col("size")) / (2 * F.nullif("size", F.lit(0)))) + 1
     part = part.withColumn("done", done).where(2 * F.col("done") + F.col("size") <= 2 * F.col("rest"))
-    inside = part.groupBy("source").agg(F.max("place").alias("cut"))
+    part = part.withColumn("take", F.least("ties", F.coalesce(fitting, "ties")))
+    inside = part.groupBy("source").agg(F.max(F.struct("place", "take", "ties")).alias("cut"))
     # a range of which nothing fits: the cut lies before its first document
     first = keyed.join(ends, F.col("source").eqNullSafe(F.col("s2")) & (F.col("range") < F.col("r2")))
-    earlier = first.withColumn("place", _order()).groupBy("source").agg(F.max("place").alias("cut"))
-    cut = inside.unionByName(earlier).groupBy("source").agg(F.max("cut").alias("cut")).withColumnRenamed("source", "s3")
+    whole = F.struct(F.col("place"), F.lit(1).cast("long").alias("take"), F.lit(1).cast("long").alias("ties"))
+    earlier = first.withColumn("place", _order()).groupBy("source").agg(F.max(whole).alias("cut"))
+    cut = inside.unionByName(earlier).groupBy("source").agg(F.max("cut").alias("c")).withColumnRenamed("source", "s3")
     return written(
-        targets.join(cut, F.col("s").eqNullSafe(F.col("s3")), "left").select("s", "source_size", "target", "epochs", "cut"), "mix-cuts"
+        targets.join(cut, F.col("s").eqNullSafe(F.col("s3")), "left")
+        .select("s", "source_size", "target", "epochs", F.col("c.place").alias("cut"), "c.take", "c.ties"), "mix-cuts"
     )
 
 
-def _copies() -> Column:
-    more = F.col("cut").isNotNull() & (_order("mixed") <= F.col("cut"))
-    return (F.col("epochs") + F.when(more, 1).otherwise(0)).cast("long")
+def _taken(rows: DataFrame, cuts: DataFrame) -> DataFrame:
+    """``rows`` (with a struct ``mixed`` of ``_sized``) with their source's columns
+    and ``copies``, how often the mix takes each."""
+    rows = rows.join(cuts, F.col("mixed.source").eqNullSafe(F.col("s")))
+    place = _order("mixed")
+    copies = lambda more: (F.col("epochs") + F.when(more, 1).otherwise(0)).cast("long")
+    upto = F.col("cut").isNotNull() & (place <= F.col("cut"))
+    if cuts.where("take < ties").isEmpty():
+        return rows.withColumn("copies", copies(upto))
+    split = F.coalesce((F.col("take") < F.col("ties")) & (place == F.col("cut")), F.lit(False))
+    others = rows.where(~split).withColumn("copies", copies(upto))
+    # rows of one place, numbered: per task, and tasks by prefix sums
+    tied = written(rows.where(split).withColumn("task", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()), "mix-ties")
+    tasks = tied.groupBy(F.col("s").alias("s4"), F.col("task").alias("t4")).agg(F.count(F.lit(1)).alias("n"))
+    before = W.partitionBy("s4").orderBy("t4").rowsBetween(W.unboundedPreceding, -1)
+    tasks = tasks.select("s4", "t4", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    tied = tied.withColumn("own", F.row_number().over(W.partitionBy("s", "task").orderBy("at")))
+    tied = tied.join(tasks, F.col("s").eqNullSafe(F.col("s4")) & (F.col("task") == F.col("t4")))
+    tied = tied.withColumn("copies", copies(F.col("before") + F.col("own") <= F.col("take")))
+    return others.unionByName(tied.select(*others.columns))
 
 
 def _cuts(docs: DataFrame, id_col: str, quality, **options) -> tuple[DataFrame, DataFrame]:
@@ -172,8 +204,7 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", quality=letters_share, **opt
     ``copies`` how many times it takes it.
     """
     sized, cuts = _cuts(docs, id_col, quality, **options)
-    rows = sized.select(F.struct("*").alias("mixed")).join(cuts, F.col("mixed.source").eqNullSafe(F.col("s")))
-    rows = rows.withColumn("copies", _copies())
+    rows = _taken(sized.select(F.struct("*").alias("mixed")), cuts)
     return rows.select(
         F.col("mixed.id").alias(id_col), "mixed.size", "source_size", "target", (F.col("mixed.size") * F.col("copies")).alias("taken"), "copies"
     )
@@ -181,8 +212,9 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", quality=letters_share, **opt
 
 def mixed(docs: DataFrame, *, id_col: str = "doc_id", quality=letters_share, **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it. Texts are read
-    twice and not shuffled: what is joined to them is one row per source."""
+    twice (once more for rows of a split place) and not shuffled: what is joined
+    to them is one row per source."""
     cuts = _cuts(docs, id_col, quality, **options)[1]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.struct(*_sized(docs, id_col, quality)).alias("mixed"))
-    rows = rows.join(cuts, F.col("mixed.source").eqNullSafe(F.col("s"))).withColumn("copies", _copies()).where("copies > 0")
+    rows = _taken(rows, cuts).where("copies > 0")
     return rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")).select("row.*")
