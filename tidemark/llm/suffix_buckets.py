@@ -217,8 +217,8 @@ def repeated(stored: DataFrame, length: int = LENGTH, q: int = Q, cell: int = CE
                     for away in range(max(least, c * cell), min(most, c * cell + cell - 1) + 1):
                         out.add((row, a - away, weight[a, c]), raw[a - away : a - away + length])
 
-    # the buckets of one map task are dealt out whole: its batches are small, Spark joins them
-    found = stored.select("row", "text").mapInArrow(initial, "row long, off long, bucket long")
+    # found once: both the count of each bucket and the join below read the written anchors
+    found = written(stored.select("row", "text").mapInArrow(initial, "row long, off long, bucket long"), "suffix-anchors")
     alone = found.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("bucket").alias("shared"))
     alone = written(alone, "suffix-q-grams")
     kept = found.join(alone, F.col("bucket") == F.col("shared")).select("row", "off", "bucket")
