@@ -286,9 +286,10 @@ def redact(docs: DataFrame, *, fdr: float = FDR, id_col: str = "doc_id") -> Data
     The cuts need the whole corpus, so texts are scanned twice, not shuffled."""
     cut = cuts(written(scanned(docs, id_col).select("more"), "secret-candidates"), fdr)
     text = F.col("text")
-    names = docs.columns
-    base = docs.withColumn("_secret_base", base_spans(text))
-    added = discovered(candidates(text, F.col("_secret_base")), cut)
-    spans = base.withColumn("_secret_spans", F.array_sort(F.concat("_secret_base", added)))
-    masked = F.when(text.isNotNull(), redacted(text, F.col("_secret_spans")))
-    return spans.select(*[masked.alias(c) if c == "text" else F.col(f"`{c}`") for c in names])
+    # the row goes as one struct: no name of its columns can clash with one made here
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    base = docs.select(row, "text", base_spans(text).alias("base"))
+    added = discovered(candidates(text, F.col("base")), cut)
+    spans = base.select("row", "text", F.array_sort(F.concat("base", added)).alias("spans"))
+    masked = F.when(text.isNotNull(), redacted(text, F.col("spans")))
+    return spans.select(*[(masked if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns])

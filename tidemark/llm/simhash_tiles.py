@@ -181,8 +181,12 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", **options)
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "tie")
     kept = classes(docs, id_col=id_col, **options).groupBy("root").agg(F.min(place).alias("first"))
     kept = written(kept.select(F.col("first.id").alias("_id"), F.col("first.tie").alias("_tie")).distinct(), "simhash-kept")
-    rows = docs.withColumn("_text_hash", F.xxhash64(F.col("text").cast("string")))
-    same = rows[id_col].eqNullSafe(kept["_id"]) & (rows["_text_hash"] == kept["_tie"])
-    order = W.partitionBy(id_col, "_text_hash").orderBy(id_col)
-    rows = rows.join(kept, same, "left_semi").withColumn("_row", F.row_number().over(order)).where("_row = 1")
-    return rows.select(*[f"`{c}`" for c in docs.columns])
+    # the row goes as one struct: no name of its columns can clash with one made here
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("id"),
+        F.xxhash64(F.col("text").cast("string")).alias("tie"),
+    )
+    same = rows["id"].eqNullSafe(kept["_id"]) & (rows["tie"] == kept["_tie"])
+    order = W.partitionBy("id", "tie").orderBy("id")
+    rows = rows.join(kept, same, "left_semi").withColumn("place", F.row_number().over(order)).where("place = 1")
+    return rows.select("row.*")
