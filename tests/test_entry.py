@@ -10,7 +10,8 @@ from tidemark.sources.testdata import TABLES
 
 from .conftest import SF_SMALL
 
-STREAMING = {"stream_incremental", "stream_incremental_restart", "stream_lifecycle"}
+STREAMING = {"stream_incremental", "stream_incremental_restart", "stream_lifecycle",
+             "stream_event_order", "stream_answers"}
 NO_ORACLE: set[str] = set()
 
 
