@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import claims
 from tidemark.operators import submission as S
 from tidemark.plans.catalog import register
 from tidemark.plans.catalog_records import SQL_NESTED_DEALS
 from tidemark.plans.sql_text import hash_id_sql
+from tidemark.session import scratch_path
 from tidemark.sources import records as R
 from tidemark.sources import testdata as T
 
@@ -216,3 +219,46 @@ WHERE outcome IN ('REGISTERED', 'SUBMISSION_UNKNOWN')""")
 def q_settlement_processed(spark, sf_dir):
     _, _, processed = _settled(spark, sf_dir)
     return processed.select("opportunity_id", "fingerprint")
+
+
+CLAIM_BATCHES = 3
+
+
+def _claimed(spark, sf_dir):
+    """Orders claim their customer, in three batches that are not in order of time;
+    the second is sent again."""
+    root = scratch_path(spark, "claims", uuid.uuid4().hex[:12])
+    o = T.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("opportunity_id"), F.col("o_orderkey").cast("string").alias("request_id"),
+        F.col("o_orderdate").cast("timestamp").alias("claimed_at"))
+    part = F.pmod(F.xxhash64("request_id"), F.lit(CLAIM_BATCHES))
+    for batch_id, of in enumerate([*range(CLAIM_BATCHES), 1]):
+        claims.claim(o.where(part == of), root, batch_id)
+    return root
+
+
+SQL_CLAIMS = """
+requests AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS opportunity_id, CAST(o_orderkey AS VARCHAR) AS request_id, o_orderdate AS claimed_at
+  FROM orders
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY opportunity_id ORDER BY claimed_at, request_id) AS place,
+         first_value(request_id) OVER (PARTITION BY opportunity_id ORDER BY claimed_at, request_id) AS held_by
+  FROM requests
+)"""
+
+
+@register("request_claims", f"""
+WITH {SQL_CLAIMS}
+SELECT opportunity_id, request_id, strftime(claimed_at, '%Y-%m-%d') AS claimed_on FROM ranked WHERE place = 1""")
+def q_request_claims(spark, sf_dir):
+    held = claims.holders(spark, _claimed(spark, sf_dir))
+    return held.select("opportunity_id", "request_id", F.date_format("claimed_at", "yyyy-MM-dd").alias("claimed_on"))
+
+
+@register("claim_conflicts", f"""
+WITH {SQL_CLAIMS}
+SELECT opportunity_id, request_id, held_by FROM ranked WHERE place > 1""")
+def q_claim_conflicts(spark, sf_dir):
+    return claims.conflicts(spark, _claimed(spark, sf_dir)).select("opportunity_id", "request_id", "held_by")
