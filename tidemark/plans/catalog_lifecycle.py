@@ -13,6 +13,7 @@ from tidemark.plans import policy as P
 from tidemark.plans.catalog import POLICY, register, rules_sql
 from tidemark.plans.sql_text import fingerprint_sql, hash_id_sql
 from tidemark.session import cut_lineage, scratch_path
+from tidemark.sources import event_log
 from tidemark.sources import testdata as T
 from tidemark.sources.request_table import RequestTable
 
@@ -241,6 +242,18 @@ def q_decision_events(spark, sf_dir):
     return ev.select(*EVENT_OUT, F.col("occurred_at").cast("timestamp_ntz").alias("occurred_at"))
 
 
+@register("rejected_histories", f"""
+WITH {SQL_REQS}
+SELECT {SQL_EVENT_OUT} FROM all_events
+WHERE request_id IN (SELECT request_id FROM changes WHERE change_seq = 2 AND status = 'REJECTED')""")
+def q_rejected_histories(spark, sf_dir):
+    """The whole log is written in two batches; every rejected request's history is looked up in it."""
+    flow, root = _Flow(spark, sf_dir), scratch_path(spark, "event-log", uuid.uuid4().hex[:12])
+    event_log.append(flow.eval_events, root, 0)
+    event_log.append(flow.dec_events, root, 1)
+    return event_log.history(spark, root, flow.dec_changes.where("status = 'REJECTED'")).select(*EVENT_OUT)
+
+
 @register("decision_changes", f"""
 WITH {SQL_REQS}
 SELECT request_id, opportunity_id, status, approved_by, error, change_seq, last_event_seq
