@@ -121,3 +121,17 @@ def test_timestamp_text_is_matched_whole(spark):
     good = ["2031-02-03", "2031-02-03T04:05:06Z", "2031-02-03 04:05", "2031-02-03T04:05:06.25+01:00"]
     df = spark.createDataFrame([(t,) for t in texts + good], "t string").select(try_timestamp("t").alias("v"))
     assert [r.v is not None for r in df.collect()] == [False] * len(texts) + [True] * len(good)
+
+
+def test_chosen_fields_are_read_and_the_rest_is_blank(spark, tmp_dir):
+    path = f"{tmp_dir}/chosen"
+    line = '{"Id": "1", "Account": {"Name": "Acme", "Id": "x"}, "Name": "Deal", "Amount": 5, "Extra__c": "more"}'
+    spark.createDataFrame([(line,)], "value string").write.text(path)
+    got = R.read_nested(spark, path, ["Id", "Account.Name", "Extra__c"])
+    assert got.collect()[0].asDict(True) == {"Id": "1", "Account": {"Name": "Acme"}, "Extra__c": "more"}
+    whole = R.with_all_fields(got)
+    assert whole.columns == R.NESTED_SCHEMA.fieldNames()
+    assert whole.select("Id", "Account.Name", "Amount").collect()[0] == ("1", "Acme", None)
+    assert R.to_deals_nested(whole).collect()[0].account_name == "Acme"
+    # records of another shape in a field of the list are not taken for it
+    assert R.with_all_fields(R.read_nested(spark, path, ["Id", "Account"])).collect()[0].Account is None

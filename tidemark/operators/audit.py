@@ -80,6 +80,13 @@ def evaluation_events(evaluated: DataFrame, run_clock) -> DataFrame:
     )
 
 
+def with_metadata(events: DataFrame, **fields: Column) -> DataFrame:
+    """``metadata``, the JSON text of the given values of each event; values
+    that are NULL are left out, and an event without any has the empty object."""
+    named = [value.alias(name) for name, value in fields.items()]
+    return events.withColumn("metadata", F.to_json(F.struct(*named)) if named else F.lit("{}"))
+
+
 def evaluation_changes(evaluated: DataFrame, run_clock) -> DataFrame:
     """The request change row written after evaluation (change_seq 1)."""
     df = with_request_id(evaluated) if "request_id" not in evaluated.columns else evaluated

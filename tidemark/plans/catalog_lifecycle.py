@@ -242,6 +242,17 @@ def q_decision_events(spark, sf_dir):
     return ev.select(*EVENT_OUT, F.col("occurred_at").cast("timestamp_ntz").alias("occurred_at"))
 
 
+@register("event_metadata", f"""
+WITH {SQL_REQS}
+SELECT request_id, event_seq,
+       '{{' || concat_ws(',', CASE WHEN actor IS NOT NULL THEN '"by":' || CAST(to_json(actor) AS VARCHAR) END,
+                         CASE WHEN reason IS NOT NULL THEN '"why":' || CAST(to_json(reason) AS VARCHAR) END) || '}}' AS metadata
+FROM all_events""")
+def q_event_metadata(spark, sf_dir):
+    events = audit.with_metadata(_Flow(spark, sf_dir).events, by=F.col("actor"), why=F.col("reason"))
+    return events.select("request_id", "event_seq", "metadata")
+
+
 @register("rejected_histories", f"""
 WITH {SQL_REQS}
 SELECT {SQL_EVENT_OUT} FROM all_events

@@ -110,9 +110,28 @@ def from_rows(spark: SparkSession, rows: Iterable[Mapping[str, object]],
     return spark.createDataFrame(data, schema)
 
 
-def read_nested(spark: SparkSession, path: str) -> DataFrame:
-    """A4: landed API records (JSON lines) with the fixed field list."""
-    return spark.read.schema(NESTED_SCHEMA).json(path)
+def field_schema(fields: Sequence[str]) -> T.StructType:
+    """The schema of a chosen field list; ``Account.Name`` is a field inside a record."""
+    inner: dict[str, list[str]] = {}
+    for name in fields:
+        head, _, rest = name.strip().partition(".")
+        inner.setdefault(head, []).extend([rest] if rest else [])
+    return T.StructType([T.StructField(head, field_schema(rest) if rest else T.StringType()) for head, rest in inner.items()])
+
+
+def read_nested(spark: SparkSession, path: str, fields: Sequence[str] | None = None) -> DataFrame:
+    """A4: landed API records (JSON lines) with the fixed field list, or the caller's.
+
+    Chosen fields are text; only they are parsed. ``with_all_fields`` makes the
+    frame fit for ``to_deals_nested`` again."""
+    return spark.read.schema(NESTED_SCHEMA if fields is None else field_schema(fields)).json(path)
+
+
+def with_all_fields(records: DataFrame) -> DataFrame:
+    """The fixed field list of ``records``; a field that was not asked for is NULL (blank)."""
+    here = {f.name: f.dataType for f in records.schema}
+    return records.select(*[
+        F.col(f.name) if here.get(f.name) == f.dataType else F.lit(None).cast(f.dataType).alias(f.name) for f in NESTED_SCHEMA])
 
 
 def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
