@@ -193,3 +193,21 @@ def test_coarse_cuts_are_refined_inside_characters():
     assert a.same.all() and b.same.all()
     assert a.ends[-1] == b.ends[-1] == len(" \U0001f9ff ok".encode())
     assert all(np.diff(a.ends, prepend=0) == pair.size_a[a.ids]) and all(np.diff(b.ends, prepend=0) == pair.size_b[b.ids])
+
+
+def test_probes_of_a_visitor_below_the_bound_are_merged():
+    """1000 members in one group and a visitor just below the bound of each: its
+    probes are one merge, not a binary search per member."""
+    rng = np.random.default_rng(1)
+    core = rng.integers(0, 1 << 63, 200).astype(np.uint64)
+    near = [np.unique(np.concatenate([core[:180], rng.integers(0, 1 << 63, 20).astype(np.uint64)])) for _ in range(1000)]
+    far = np.unique(np.concatenate([core[:140], rng.integers(0, 1 << 63, 60).astype(np.uint64)]))
+    index, calls = overlap_search.Index(near), []
+    probe = index.probe
+    index.probe = lambda members, long: calls.append(len(members)) or probe(members, long)
+    found = list(overlap_search.search(index, [near[0], far], [0, -1], 80))
+    assert sorted(m for _, m in found) == list(range(1, 1000)) and {v for v, _ in found} == {0}
+    assert calls == [999] or calls == [999, 1000]
+    long = np.argsort(index.stop - index.start, kind="stable")[-50:]
+    few, many = np.arange(3), np.arange(1000)
+    assert (probe(many, long)[:3] == probe(few, long)).all()

@@ -18,8 +18,8 @@ at least ``T(n)``, ``percent`` of the larger set's size ``n``.
    bounded size; a hot one is cut by hash. A record visits its own shard, and
    each later one that holds a record of one of its short lists.
 5. Search. A shard is an inverted index. For each visitor the lists it has there
-   are divided: the longest ``L`` are put aside, the short ones are heap-merged,
-   and a record met ``T - L`` times is probed in the long ones by binary search;
+   are divided: the longest ``L`` are put aside, the short ones are merged into a
+   counter per record of the shard, and a record met ``T - L`` times is probed in the long ones by binary search;
    those that reach the pair's required overlap are links. A pair whose ends are
    joined already is not probed, so a task gives a forest, not all pairs.
 6. Components by star steps; equal sets take their record's component by a join.
@@ -37,11 +37,9 @@ no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import heapq
 import math
 import uuid
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -64,7 +62,8 @@ FLUSH = 1_000_000  # least hashes packed together
 RANGE = 1_000_000  # hashes that meet in one range
 SHARD = 250_000  # shingles of a shard's records, about
 SMALL = 1_000_000  # survivors up to here are broadcast as row numbers
-MU = 0.01  # weight of a binary probe against a heap step
+MU = 0.01  # weight of a binary probe against a step of the merge, for the division
+MERGE = 8  # steps of a merge that take as long as a binary probe
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -239,13 +238,20 @@ class Index:
         longest = int(self.stop[found[-1]] - self.start[found[-1]])
         aside = min(least - 1, int(least / (MU * math.log2(longest + 1) + 1)))
         short, long = found[: len(found) - aside], found[len(found) - aside :]
-        runs = [self.member[self.start[i] : self.stop[i]].tolist() for i in short.tolist()]
-        met = [(m, n) for m, n in ((m, sum(1 for _ in g)) for m, g in groupby(heapq.merge(*runs))) if n >= least - aside]
-        members, times = np.array(met, np.int64).reshape(-1, 2).T
-        return members, times, long
+        met = self.merged(short)
+        members = np.flatnonzero(met >= least - aside)
+        return members, met[members], long
+
+    def merged(self, some: np.ndarray) -> np.ndarray:
+        """In how many of some lists each member of the shard is."""
+        runs = [self.member[a:b] for a, b in zip(self.start[some].tolist(), self.stop[some].tolist(), strict=True)]
+        return np.bincount(np.concatenate([self.member[:0], *runs]), minlength=self.n)
 
     def probe(self, members: np.ndarray, long: np.ndarray) -> np.ndarray:
-        """In how many of the long lists each member is, by binary search."""
+        """In how many of the long lists each member is: by binary search, or by
+        merging them too where there are as many probes as a merge has steps."""
+        if (self.stop[long] - self.start[long]).sum() <= MERGE * len(long) * len(members):
+            return self.merged(long)[members]
         want = (long[:, None] * self.n + members[None]).ravel()
         at = np.minimum(np.searchsorted(self.keys, want), len(self.keys) - 1)
         return (self.keys[at] == want).reshape(len(long), len(members)).sum(axis=0)
@@ -264,19 +270,17 @@ def search(index: Index, visitors: list[np.ndarray], own: list[int], percent: in
         members, times, long = index.candidates(found, least)
         fit = (100 * np.minimum(index.size[members], len(s)) >= percent * np.maximum(index.size[members], len(s))) & (members != own[v])
         members, times = members[fit], times[fit]
-        while len(members):
-            apart = label[members] != label[me]
-            members, times = members[apart], times[apart]
-            # one of each group at a time: a link joins all of its group
-            _, some = np.unique(label[members], return_index=True)
-            overlap = times[some] + index.probe(members[some], long)
-            linked = 100 * overlap >= percent * (len(s) + index.size[members[some]] - overlap)
-            for m in members[some][linked].tolist():
+        apart = label[members] != label[me]
+        members, times = members[apart], times[apart]
+        if not len(members):
+            continue
+        # all at once: a visitor just below the bound of a large group meets each of its members
+        overlap = times + index.probe(members, long)
+        linked = 100 * overlap >= percent * (len(s) + index.size[members] - overlap)
+        for m in members[linked].tolist():
+            if label[m] != label[me]:  # a link joins all of a group
                 label[label == label[m]] = label[me]
                 yield v, m
-            rest = np.ones(len(members), bool)
-            rest[some] = False
-            members, times = members[rest], times[rest]
 
 
 def links(survivors: DataFrame, *, percent: int, shard: int = SHARD) -> DataFrame:
