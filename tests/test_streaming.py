@@ -183,3 +183,14 @@ def test_csv_files_with_columns_in_another_order_stop_the_stream(spark, tmp_dir)
     with pytest.raises(Exception, match="header"):
         incremental.run_incremental(spark, src, os.path.join(tmp_dir, "s"), os.path.join(tmp_dir, "ck"), POLICY,
                                     source_format="csv", schema=df.schema)
+
+
+def test_a_batch_keeps_only_what_its_sinks_hold(spark, tmp_dir, monkeypatch):
+    """Versions are dealt out without the deal's other fields, and a landing has files for every core."""
+    from tidemark.plans import catalog_streaming as C
+
+    kept, real = [], incremental.first_per_version
+    monkeypatch.setattr(incremental, "first_per_version", lambda df: kept.append(df.columns) or real(df))
+    incremental.process_batch(R.from_rows(spark, fixture_rows()), 0, incremental.IncrementalSinks(os.path.join(tmp_dir, "s")), POLICY)
+    assert kept == [incremental.SINK_FIELDS]
+    assert C.landing_scale(spark) >= spark.sparkContext.defaultParallelism

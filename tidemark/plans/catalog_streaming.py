@@ -23,24 +23,30 @@ from tidemark.streaming import answers, event_order, incremental, lifecycle_stat
 LANDING_FILES = 4
 
 
-def land(df, path: str, by) -> str:
-    """Write ``df`` as ``LANDING_FILES`` files, rows of one ``by`` value together."""
-    df.repartition(LANDING_FILES, by).write.mode("overwrite").parquet(path)
+def land(df, path: str, by, files: int = LANDING_FILES) -> str:
+    """Write ``df`` as so many files, rows of one ``by`` value together."""
+    df.repartition(files, by).write.mode("overwrite").parquet(path)
     return path
 
 
+def landing_scale(spark) -> int:
+    """How many files stand for one: every core writes and reads some, so a landing
+    takes as long as its rows ask for, not as its largest file does."""
+    return spark.sparkContext.defaultParallelism
+
+
 @register("stream_incremental", f"""
 WITH {rules_sql(SQL_FLAT_DEALS)}
 SELECT opportunity_id, status, nullif(errors_text, '') AS error FROM evaluated""")
 def q_stream_incremental(spark, sf_dir):
     run = uuid.uuid4().hex[:12]
     src = T.flat_source(spark, sf_dir)
-    landing = land(src, scratch_path(spark, "landing", run, "flat"),
-                   F.substring("LastModifiedDate", 1, 4))
+    scale = landing_scale(spark)
+    landing = land(src, scratch_path(spark, "landing", run, "flat"), "Opportunity_ID", LANDING_FILES * scale)
     sinks = incremental.run_incremental(
         spark, landing, scratch_path(spark, "incremental", run, "sinks"),
         scratch_path(spark, "incremental", run, "checkpoint"), POLICY,
-        files_per_trigger=2, schema=src.schema)
+        files_per_trigger=2 * scale, schema=src.schema)
     changes = incremental.read_sink(spark, sinks.changes)
     return changes.select("opportunity_id", "status", "error")
 
@@ -55,12 +61,13 @@ def q_stream_incremental_restart(spark, sf_dir):
     run = uuid.uuid4().hex[:12]
     src = T.flat_source(spark, sf_dir)
     landing, sinks_root = (scratch_path(spark, "restart", run, d) for d in ("landing", "sinks"))
+    scale = landing_scale(spark)
     part = F.pmod(F.xxhash64("Opportunity_ID"), F.lit(6))
     for i, rows in enumerate((src.where(part < 3), src.where((part >= 3) | (part == 0)))):
-        rows.repartition(2 + i, "Opportunity_ID").write.mode("append").parquet(landing)
+        rows.repartition((2 + i) * scale, "Opportunity_ID").write.mode("append").parquet(landing)
         sinks = incremental.run_incremental(
             spark, landing, sinks_root, scratch_path(spark, "restart", run, f"checkpoint-{i}"), POLICY,
-            files_per_trigger=1 + i, schema=src.schema)
+            files_per_trigger=(1 + i) * scale, schema=src.schema)
     return incremental.read_sink(spark, sinks.changes).select("opportunity_id", "status", "error")
 
 

@@ -69,6 +69,10 @@ MARKS_SCHEMA = T.StructType([
 ])
 
 
+# of an evaluated deal, what events, changes and processed versions are made from
+SINK_FIELDS = [*versions.VERSION_KEYS, "source_updated_at", "source_record_id", "eligible", "status", "validation_errors", "error"]
+
+
 def latest_marks(marks: DataFrame) -> DataFrame:
     """The mark of every source over all batches; marks never go back."""
     return marks.groupBy("source").agg(F.max("watermark").alias("watermark"))
@@ -117,15 +121,15 @@ def process_batch(batch: DataFrame, batch_id: int, sinks: IncrementalSinks,
     spark = batch.sparkSession
     # a micro-batch of a few files is read by a few tasks; spread it over the
     # cores before the per-row evaluation (a no-op for large batches)
-    deals = R.to_deals_flat(spread(batch), source_system=source_system).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    ev = audit.with_request_id(versions.with_fingerprint(rules.evaluate(deals, policy)))
+    deals = R.to_deals_flat(spread(batch), source_system=source_system)
+    # what the sinks hold is dealt out by version, not every field of the deal
+    ev = versions.with_fingerprint(rules.evaluate(deals, policy)).select(*SINK_FIELDS)
     prior = _read_or_empty(spark, sinks.processed, PROCESSED_SCHEMA).where(
         (F.col("run") != F.lit(f"r{run}")) | (F.col("batch_id") != F.lit(batch_id)))
     fresh = versions.drop_processed(ev, prior)
     # one row per version even if the batch carries copies of it; kept for
     # the four writes below (recomputed from the source files if lost)
-    fresh = first_per_version(fresh).persist(StorageLevel.MEMORY_AND_DISK)
+    fresh = audit.with_request_id(first_per_version(fresh)).persist(StorageLevel.MEMORY_AND_DISK)
     clock = F.col("source_updated_at")
     _write_batch(audit.evaluation_events(fresh, clock), sinks.events, run, batch_id)
     changes = audit.evaluation_changes(fresh, clock).withColumn(
@@ -133,11 +137,12 @@ def process_batch(batch: DataFrame, batch_id: int, sinks: IncrementalSinks,
     _write_batch(changes, sinks.changes, run, batch_id)
     others = _read_or_empty(spark, sinks.marks, MARKS_SCHEMA).where(
         (F.col("run") != F.lit(f"r{run}")) | (F.col("batch_id") != F.lit(batch_id)))
-    _write_batch(sync.advance_marks(deals, latest_marks(others)), sinks.marks, run, batch_id)
+    # the files' change times are read again: less than keeping every deal
+    seen = R.to_deals_flat(batch, source_system=source_system)
+    _write_batch(sync.advance_marks(seen, latest_marks(others)), sinks.marks, run, batch_id)
     processed = fresh.select(*versions.VERSION_KEYS, clock.alias("processed_at"))
     _write_batch(processed, sinks.processed, run, batch_id)
     fresh.unpersist()
-    deals.unpersist()
 
 
 def run_incremental(
