@@ -70,9 +70,9 @@ def move_bound(relation: Mapping[str, Sequence[str]], starts: set[str]) -> int:
     return max(depths)
 
 
-def _targets_by_step(relation: Mapping[str, Sequence[str]], start: str, rounds: int) -> list[set[str]]:
+def _targets_by_step(relation: Mapping[str, Sequence[str]], starts: set[str], rounds: int) -> list[set[str]]:
     """Targets that can be reached by exactly ``r`` moves, for r = 1..rounds."""
-    frontier, out = {start}, []
+    frontier, out = starts, []
     for _ in range(rounds):
         nxt = {t for s in frontier for t in relation.get(s, ())}
         out.append(nxt)
@@ -88,6 +88,7 @@ def fold_transitions(
     key: str = "key",
     materialize_commands: bool = False,
     add_missing_keys: bool = True,
+    write_initial: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Replay ordered commands per key; returns ``(state, moves)``.
 
@@ -96,14 +97,16 @@ def fold_transitions(
     (current states); keys absent from it start at ``start`` with no
     position, unless ``add_missing_keys`` is false: then their commands are
     left unapplied (no state to move) and the distinct/anti join that finds
-    them is skipped.
+    them is skipped. ``write_initial`` false: ``initial`` is a stored table,
+    read where it is instead of being written once more.
 
     ``state``: ``key, status, last_ts, last_seq, moves`` per key.
     ``moves``: one row per applied command: ``key, step, ts, seq,
     from_status, to_status`` + payload; ``step`` counts from 1 per fold.
     """
     # with given starting states: the longest path from any state
-    rounds = move_bound(relation, {start} if initial is None else set(relation) | {start})
+    starts = {start} if initial is None else set(relation) | {start}
+    rounds = move_bound(relation, starts)
     payload = [c for c in commands.columns if c not in (key, "ts", "seq", "target")]
 
     cmds = commands.select(F.col(key).alias("key"), "ts", "seq", "target", *payload)
@@ -128,12 +131,11 @@ def fold_transitions(
                 F.lit(None).cast(init.schema["last_seq"].dataType).alias("last_seq"))
             init = init.unionByName(missing)
         # one row per key; written once, read by round 1 and the final state
-        state0 = cut_lineage(init, "state0")
+        state0 = cut_lineage(init, "state0") if write_initial else init
 
     terminal = sorted(set([s for s in P.STATES if not relation.get(s)] + [
         t for ts in relation.values() for t in ts if not relation.get(t)]))
-    step_targets = (_targets_by_step(relation, start, rounds)
-                    if initial is None else None)
+    step_targets = _targets_by_step(relation, starts, rounds)
     moves: list[DataFrame] = []
 
     def current() -> DataFrame:
@@ -162,9 +164,7 @@ def fold_transitions(
     active = None if initial is None else state0.where(~F.col("status").isin(terminal)).select(
         "key", F.col("status").alias("cur"), "last_ts", "last_seq")
     for r in range(1, rounds + 1):
-        cand = cmds
-        if step_targets is not None:
-            cand = cand.where(F.col("target").isin(sorted(step_targets[r - 1])))
+        cand = cmds.where(F.col("target").isin(sorted(step_targets[r - 1])))
         if active is None:
             # round 1 from ``start`` with no position: no join needed
             cand = cand.withColumn("cur", F.lit(start)).where(
@@ -182,7 +182,7 @@ def fold_transitions(
             F.col("m.cur").alias("from_status"), F.col("m.target").alias("to_status"),
             *[F.col(f"m.{c}").alias(c) for c in payload],
         )
-        step = cut_lineage(step, f"moves-{r}")
+        step = cut_lineage(step, f"moves-{r}", "zstd")
         moves.append(step)
         active = step.where(~F.col("to_status").isin(terminal)).select(
             "key", F.col("to_status").alias("cur"), F.col("ts").alias("last_ts"),
@@ -215,7 +215,8 @@ def command_outcomes(
     command picks the last move before it. The join of commands with that
     one-row-per-key table is left to AQE, which splits a hot key's partition.
     A command applied if a move has its whole position and target: ``seq``
-    alone may repeat at another ``ts``.
+    alone may repeat at another ``ts``. The same columns tell that, so the
+    commands are shuffled once.
     """
     cmd = commands.select(F.col(key).alias("key"), "ts", "seq", "target")
     bound = move_bound(relation, {start} if initial is None else set(relation) | {start})
@@ -234,12 +235,11 @@ def command_outcomes(
         met = met.join(initial.select(F.col(key).alias("key"), F.col("status").alias("init")), "key", "left")
     else:
         met = met.withColumn("init", F.lit(None).cast("string"))
-    joined = met.join(
-        moves.select("key", "ts", "seq", F.col("to_status").alias("target"), F.lit(True).alias("applied")),
-        ["key", "ts", "seq", "target"], "left")
     state_at = F.coalesce(*seen, F.col("init"), F.lit(start))
-    applied = F.coalesce(F.col("applied"), F.lit(False))
-    return joined.select(
+    own = [(F.col(f"_m{r}.to_status") == F.col("target")) & (F.col(f"_m{r}.ts") == F.col("ts"))
+           & (F.col(f"_m{r}.seq") == F.col("seq")) for r in range(1, bound + 1)]
+    applied = F.coalesce(*[F.when(o, F.lit(True)) for o in own], F.lit(False))
+    return met.select(
         "key", "ts", "seq", "target",
         state_at.alias("state_before"),
         applied.alias("applied"),

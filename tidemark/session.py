@@ -150,20 +150,21 @@ def lineage_root(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark)}/lineage/{spark.sparkContext.applicationId}"
 
 
-def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+def cut_lineage(df: DataFrame, name: str = "cut", compression: str | None = None) -> DataFrame:
     """Write ``df`` as a table under the shared checkpoint folder and read it back.
 
     One job computes and writes the rows (an RDD checkpoint of an unpersisted
     plan would compute them twice); the returned frame's lineage is just the
     file scan, so a lost executor re-reads files instead of recomputing
     earlier rounds. Always cuts: the folder is resolved the same way for every
-    caller, and a cluster that names none is an error.
+    caller, and a cluster that names none is an error. ``compression`` packs a
+    table of many digests tighter than the session's codec does.
     """
     import uuid
 
     spark = df.sparkSession
     path = f"{lineage_root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
