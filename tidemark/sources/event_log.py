@@ -33,7 +33,8 @@ def append(events: DataFrame, root: str, batch_id: int, buckets: int = BUCKETS)
     """Write one batch of events (``request_id, event_seq, ...``)."""
     order = ["bucket", "request_id", "event_seq"]
     rows = events.withColumn("bucket", _bucket(buckets)).repartitionByRange(*order).sortWithinPartitions(*order)
-    rows.write.mode("overwrite").partitionBy("bucket").parquet(os.path.join(_root(root, buckets), f"batch_id={batch_id}"))
+    rows.write.mode("overwrite").partitionBy("bucket").parquet(
+        os.path.join(_root(root, buckets), f"batch_id={batch_id}"), compression="zstd")  # ids are digests
 
 
 def read(spark: SparkSession, root: str, buckets: int = BUCKETS) -> DataFrame:
