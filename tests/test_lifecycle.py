@@ -186,3 +186,35 @@ def test_outcomes_with_a_repeated_seq(spark):
     _, moves = L.fold_transitions(cmds)
     got = L.command_outcomes(cmds, moves).orderBy("ts").collect()
     assert [(r.target, r.applied) for r in got] == [("ELIGIBLE", True), ("VALIDATED", True), ("REGISTERED", False)]
+
+
+def test_outcomes_and_decisions_shuffle_commands_once(spark):
+    """The outcomes need one join with the moves, and decisions write no request table again."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cmds = random_commands(200, 20, list(P.STATES[1:]), seed=5) + [("k0", None, 900, "ELIGIBLE"), ("k1", T0, 901, None)]
+        df = spark.createDataFrame(cmds, "key string, ts timestamp, seq long, target string")
+        _, moves = L.fold_transitions(df)
+        plan = L.command_outcomes(df, moves)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join ") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_decisions_write_only_moves(spark, monkeypatch):
+    cuts, real = [], L.cut_lineage
+    monkeypatch.setattr(L, "cut_lineage", lambda df, name, *a: cuts.append(name) or real(df, name, *a))
+    reqs = spark.createDataFrame(
+        [("r1", "o1", "VALIDATED", 1, 2), ("r2", "o2", "NOT_ELIGIBLE", 1, 1)],
+        "request_id string, opportunity_id string, status string, change_seq long, last_event_seq long").selectExpr(
+        "*", "array('e') AS validation_errors", "cast(null AS string) AS approved_by", "cast(null AS timestamp) AS approved_at",
+        "cast(null AS string) AS registration_number", "cast(null AS timestamp) AS submitted_at")
+    decisions = spark.createDataFrame(
+        [(r, d, "a", "why", T0 + dt.timedelta(days=i), i) for r in ("r1", "r2", "r9") for i, d in enumerate(("REVIEW", "APPROVE"), 1)],
+        "request_id string, decision string, actor string, reason string, ts timestamp, seq long")
+    changes, events, rejects = review.apply_decisions(reqs, decisions)
+    assert [(r.request_id, r.status, r.last_event_seq) for r in changes.collect()] == [("r1", "APPROVED", 4)]
+    assert sorted((r.event_seq, r.to_status) for r in events.collect()) == [(3, "READY_FOR_REVIEW"), (4, "APPROVED")]
+    assert sorted((r.request_id, r.seq, r.state_before) for r in rejects.collect()) == [
+        ("r2", 1, "NOT_ELIGIBLE"), ("r2", 2, "NOT_ELIGIBLE"), ("r9", 1, "NEW"), ("r9", 2, "NEW")]
+    assert cuts and all(c.startswith("moves-") for c in cuts)

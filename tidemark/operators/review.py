@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from tidemark.operators import lifecycle as L
 from tidemark.operators.audit import event_id_expr
 from tidemark.plans import policy as P
-from tidemark.session import cut_lineage
 
 # Decision verbs and the state each one targets.
 DECISION_TARGETS = {
@@ -39,9 +38,12 @@ def apply_decisions(requests: DataFrame, decisions: DataFrame):
     Returns ``(changes, events, rejects)``: new change rows for requests that
     moved, one event per applied decision (approve carries the actor, reject
     the reason), and every decision that did not apply with its message.
+
+    ``requests`` is a stored table, read in place for the fold, the changes and
+    the events and never written again; a few decisions, or the few moves they
+    made, are sent to it instead of shuffling it. Only requests in a state that
+    a decision can leave go through the fold; the others are rejects.
     """
-    # a few decisions must not rewrite or reshuffle the whole request table
-    requests = cut_lineage(requests.join(decisions.select("request_id"), "request_id", "left_semi"), "decided")
     target = F.create_map(*[x for k, v in DECISION_TARGETS.items() for x in (F.lit(k), F.lit(v))])
     cmds = decisions.select(
         F.col("request_id").alias("key"), "ts", "seq",
@@ -55,8 +57,10 @@ def apply_decisions(requests: DataFrame, decisions: DataFrame):
     rel = decision_relation()
     # decisions on unknown requests have no state to move: they come back as
     # rejects (from NEW), so the fold need not add start states for them
-    state, moves = L.fold_transitions(cmds, rel, initial=initial, add_missing_keys=False)
-    req = requests.select(
+    movable = F.col("status").isin(sorted(rel))
+    _, moves = L.fold_transitions(cmds, rel, initial=initial.where(movable), add_missing_keys=False, write_initial=False)
+    movers = requests.where(movable)
+    req = movers.select(
         F.col("request_id").alias("key"), "opportunity_id", "change_seq", "last_event_seq")
     mv = moves.join(req, "key")
     events = mv.select(
@@ -68,13 +72,13 @@ def apply_decisions(requests: DataFrame, decisions: DataFrame):
         (F.col("last_event_seq") + F.col("step")).cast("bigint").alias("event_seq"),
     )
     # per request: the final move, and the approval move if any (bounded: <= 2 moves)
-    last = mv.groupBy("key").agg(
+    last = moves.groupBy("key").agg(
         F.max_by(F.struct("to_status", "reason", "ts"), F.col("step")).alias("last"),
         F.max_by(F.struct("actor", "ts"), F.when(F.col("to_status") == P.APPROVED, F.col("step")))
         .alias("appr"),
         F.max("step").alias("n_moves"),
     )
-    prev = requests.withColumnRenamed("request_id", "key")
+    prev = movers.withColumnRenamed("request_id", "key")
     changes = prev.join(last, "key").select(
         F.col("key").alias("request_id"), "opportunity_id",
         F.col("last.to_status").alias("status"),

@@ -70,7 +70,9 @@ def build_outbox(requests: DataFrame, processed: DataFrame) -> DataFrame:
     version, only the lowest ``seq`` is sent (a min aggregate joined back);
     if it is rejected, the next one goes out in the next run.
     """
-    gated = submission_gate(requests, processed).where(F.col("gate").isNull())
+    # rows still to approve go before the joins, not after them
+    approved = requests.where(F.coalesce(F.col("status") == P.APPROVED, F.lit(True)))
+    gated = submission_gate(approved, processed).where(F.col("gate").isNull())
     first = gated.groupBy(*VERSION_KEYS).agg(F.min("seq").alias("_first"))
     chosen = gated.join(first, VERSION_KEYS).where(F.col("seq") == F.col("_first"))
     return check_payload_contract(

@@ -182,7 +182,7 @@ class _Flow:
         ev = versions.with_fingerprint(rules.evaluate(T.deal_view(spark, sf_dir), POLICY))
         # the evaluated requests are the stored request table the later
         # steps (decisions, history) read; write them once
-        self.evaluated = cut_lineage(audit.with_request_id(ev), "evaluated")
+        self.evaluated = cut_lineage(audit.with_request_id(ev), "evaluated", "zstd")
         self.clock = F.col("source_updated_at")
 
     @cached_property
@@ -374,7 +374,7 @@ class _Settled(_Flow):
         super().__init__(spark, sf_dir)
         self.run_clock = dt.datetime(2026, 1, 1)
         # the stored request table that the submission run reads
-        self.current = cut_lineage(audit.latest_requests(self.changes), "current")
+        self.current = cut_lineage(audit.latest_requests(self.changes), "current", "zstd")
         requests = submission.with_deals(self.current, self.evaluated).withColumn("seq", F.col("opportunity_id").cast("bigint"))
         none_yet = self.evaluated.select("opportunity_id", "fingerprint").limit(0)
         refused = submission.contract_answers(submission.build_outbox(requests, none_yet))
