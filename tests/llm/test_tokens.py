@@ -1,14 +1,18 @@
 """Token counts and the BPE codec against the tokenizers library."""
 
+import gc
 import hashlib
+import weakref
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import token_counts, word_table_bpe
-from tidemark.llm.queries import tokenizer_path
+from tidemark.llm.queries import bpe_digests, tokenizer_path
 
 TEXTS = [
     None, "", " ", "\n\n  \t x", "Hello world's 123 it's IT'S", "<|endoftext|>", "a<|endoftext|><|endoftext|> b <|startoftext|>c<|endoftex", "naïve Ünïcödé ß İ ǅ ﬁ",
@@ -58,6 +62,34 @@ def test_codec(docs, bound):
         assert r.decoded == tok.decode(ids, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("bound", [1_500_000, 4])
+def test_tasks_that_encode_also_decode(docs, bound):
+    path = tokenizer_path("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    got = word_table_bpe.encode(docs, path, broadcast_words=bound, then=word_table_bpe.decoder(docs.sparkSession, path)).collect()
+    assert len(got) == len(TEXTS) + 2
+    for r in got:
+        ids = tok.encode("null id" if r.doc_id is None else TEXTS[r.doc_id] or "", add_special_tokens=False).ids
+        assert np.frombuffer(r.ids, "<u4").tolist() == ids
+        assert r.decoded == tok.decode(ids, skip_special_tokens=False)
+
+
+def test_a_digest_task_has_one_python_worker(docs):
+    """Each Python operator in a task holds a worker of its own."""
+    plan = bpe_digests(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
+def test_word_table_goes_with_its_broadcast():
+    words = pa.table({"h": pa.array([], pa.int64()), "word": pa.array([], pa.string()), "ids": pa.array([], pa.binary())})
+    broadcast = SimpleNamespace(value={"key": 1, "words": words})
+    assert word_table_bpe._known(broadcast) is word_table_bpe._known(broadcast)
+    left = weakref.ref(word_table_bpe._known(broadcast))
+    del broadcast
+    gc.collect()
+    assert left() is None
+
+
 def test_broadcast_words_are_bounded_by_bytes(spark):
     path = tokenizer_path("word_bpe_49k.json")
     tok = Tokenizer.from_file(path)

@@ -24,7 +24,7 @@ from tidemark.llm import (
     url_filter,
     word_table_bpe,
 )
-from tidemark.llm.common import table, written
+from tidemark.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -179,13 +179,10 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- 8: BPE encoding and decoding -------------------------------------------
 
 
-def bpe_digests(docs: DataFrame, *, cut: bool = False) -> DataFrame:
-    """Digests of ids and decoded texts. ``cut`` writes the ids in between, so
-    that a task holds the workers and tables of one direction only: less memory
-    for more disk and time."""
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    """Digests of ids and decoded texts; the tasks that encode also decode."""
     path = tokenizer_path("word_bpe_49k.json")
-    ids = word_table_bpe.encode(docs, path)
-    coded = word_table_bpe.decode(written(ids, "bpe-ids") if cut else ids, path)
+    coded = word_table_bpe.encode(docs, path, then=word_table_bpe.decoder(docs.sparkSession, path))
     return coded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),

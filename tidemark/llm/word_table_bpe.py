@@ -14,7 +14,8 @@
    While the bounds hold every repeated word, that join has nothing to add and
    is not run.
 4. Ids are decoded by a join, by position, with the id-to-piece table, which
-   the vocabulary bounds.
+   the vocabulary bounds; in the tasks that encode, where both are asked for
+   (``encode`` with ``then``): a task then has one Python worker, not two.
 
 Scale: what is shuffled is distinct words per task, and beyond the bound the
 texts with a rare or long word, once. The broadcast does not grow with the
@@ -36,15 +37,14 @@ from __future__ import annotations
 
 import re
 import struct
-import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -260,25 +260,33 @@ class WordIds:
                 at += 1
 
 
-_KNOWN: dict[int, WordIds] = {}  # of the newest broadcast, one per worker
+def _known(dictionary) -> WordIds:
+    """One per worker and broadcast. It lies in the broadcast's value, so that a
+    worker that goes on to other work gives its memory back with the broadcast."""
+    held = dictionary.value
+    if "known" not in held:
+        held["known"] = WordIds(held["words"])
+    return held["known"]
 
 
-def _known(dictionary) -> WordIds:
-    if dictionary.value["key"] not in _KNOWN:
-        _KNOWN.clear()
-        _KNOWN[dictionary.value["key"]] = WordIds(dictionary.value["words"])
-    return _KNOWN[dictionary.value["key"]]
+Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
-def encode(docs: DataFrame, path: str, *, broadcast_words: int = BROADCAST_WORDS, broadcast_bytes: int = BROADCAST_BYTES, id_col: str = "doc_id") -> DataFrame:
-    """(id, ids) of every document; ids as little-endian unsigned 32-bit numbers."""
+def encode(docs: DataFrame, path: str, *, broadcast_words: int = BROADCAST_WORDS, broadcast_bytes: int = BROADCAST_BYTES, id_col: str = "doc_id", then: Step | None = None) -> DataFrame:
+    """(id, ids) of every document; ids as little-endian unsigned 32-bit numbers.
+    With ``then`` (a ``decoder``) (id, ids, decoded), by the same tasks."""
     spark = docs.sparkSession
     top, others = frequent(word_table(docs, path), broadcast_words, broadcast_bytes)
     hashed = top.select(F.xxhash64("word").alias("h"), "word", "ids").toArrow()  # at most broadcast_words rows and broadcast_bytes, without the hashes
-    dictionary = spark.sparkContext.broadcast({"key": uuid.uuid4().int, "words": hashed.sort_by("h").combine_chunks()})
+    dictionary = spark.sparkContext.broadcast({"words": hashed.sort_by("h").combine_chunks()})
     complete = others.isEmpty()
     rows = docs.select(F.col(id_col).alias("id"), F.col("text").cast("string").alias("text"))
     out = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("ids", T.BinaryType())])
+    if then is not None:
+        out = out.add("decoded", T.StringType())
+
+    def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return batches if then is None else then(batches)
 
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """All documents; without the complete table, those that it is enough for."""
@@ -311,7 +319,7 @@ def encode(docs: DataFrame, path: str, *, broadcast_words: int = BROADCAST_WORDS
                     at += 1
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids, pa.int64())), pa.array(found, pa.binary())], ["id", "ids"])
 
-    done = rows.mapInArrow(plain, out)
+    done = rows.mapInArrow(lambda batches: finished(plain(batches)), out)
     if complete:
         return done.withColumnRenamed("id", id_col)
 
@@ -349,19 +357,19 @@ def encode(docs: DataFrame, path: str, *, broadcast_words: int = BROADCAST_WORDS
                     # a word that neither has stands here alone
                     yield ident.as_py(), b"".join([own[w] if w in own else more[w] if w in more else code(w) for w in words])
 
-        return _batches(told(), ["id", "ids"], [kind, pa.binary()])
+        return finished(_batches(told(), ["id", "ids"], [kind, pa.binary()]))
 
     kind = to_arrow_type(out["id"].dataType)
     return done.unionByName(left.mapInArrow(late, out)).withColumnRenamed("id", id_col)
 
 
-def decode(coded: DataFrame, path: str, *, id_col: str = "doc_id") -> DataFrame:
-    """(id, ids, decoded): the pieces of the ids in their order, space-joined."""
+def decoder(spark: SparkSession, path: str) -> Step:
+    """The step that gives batches of (id, ids) a column of decoded texts."""
     vocab = load(path).get_vocab(with_added_tokens=True)
     pieces = [""] * (max(vocab.values()) + 1)
     for piece, i in vocab.items():
         pieces[i] = piece
-    table = coded.sparkSession.sparkContext.broadcast(pa.array(pieces, pa.string()))  # bounded by the vocabulary
+    table = spark.sparkContext.broadcast(pa.array(pieces, pa.string()))  # bounded by the vocabulary
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -376,6 +384,11 @@ def decode(coded: DataFrame, path: str, *, id_col: str = "doc_id") -> DataFrame:
                 texts = pc.binary_join(lists, " ").cast(pa.string())
                 yield pa.RecordBatch.from_arrays([*part.columns, texts], ["id", "ids", "decoded"])
 
+    return decoded
+
+
+def decode(coded: DataFrame, path: str, *, id_col: str = "doc_id") -> DataFrame:
+    """(id, ids, decoded): the pieces of the ids in their order, space-joined."""
     rows = coded.select(F.col(id_col).alias("id"), "ids")
     out = T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())])
-    return rows.mapInArrow(decoded, out).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(decoder(coded.sparkSession, path), out).withColumnRenamed("id", id_col)
